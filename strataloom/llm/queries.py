@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.llm import language, residue
+from strataloom.llm import language, neardup, residue
 from strataloom.sources.tables import table
 
 
@@ -30,8 +30,28 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.template_residue(table(spark, folder, "instruction_rows").select("id", "instruction")).select("id")
 
 
+def near_texts(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, int]]:
+    """The texts of problem 7 and the least words of each field."""
+    requests = table(spark, folder, "instruction_rows").select(F.lit("instruction").alias("field"), "id", F.col("instruction").alias("text"))
+    talks = table(spark, folder, "audit_rows").select(F.lit("messages").alias("field"), "id", F.array_join("messages.content", " ").alias("text"))
+    return requests.unionByName(talks), {"instruction": 60, "messages": 100}
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of records that share at least half of their runs of three words."""
+    return neardup.expand(*neardup.near_duplicates(*near_texts(spark, folder), similarity=0.5, run=3))
+
+
+def p7_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every record with its class of equal texts and its links at five words and similarity 0.8."""
+    texts, _ = near_texts(spark, folder)
+    return neardup.grouped(*neardup.near_duplicates(texts, {"instruction": 1, "messages": 1}, similarity=0.8, run=5))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p4_found": p4_found,
+    "p7_found": p7_found,
+    "p7_groups": p7_groups,
 }
 SQL: dict[str, str] = {}

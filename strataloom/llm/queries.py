@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.llm import language, neardup, residue
+from strataloom.llm import language, mojibake, neardup, residue
 from strataloom.sources.tables import table
 
 
@@ -48,9 +48,21 @@ def p7_groups(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.grouped(*neardup.near_duplicates(texts, {"instruction": 1, "messages": 1}, similarity=0.8, run=5))
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of whose text at least a part is garbled."""
+    return mojibake.garbled(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id").distinct()
+
+
+def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """Garbled documents with the restored text, where there is one, and the misreading."""
+    return mojibake.garbled(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p4_found": p4_found,
+    "p10_found": p10_found,
+    "p10_restored": p10_restored,
     "p7_found": p7_found,
     "p7_groups": p7_groups,
 }

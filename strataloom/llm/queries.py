@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.llm import language, mojibake, neardup, residue
+from strataloom.llm import language, mojibake, neardup, repetition, residue
 from strataloom.sources.tables import table
 
 
@@ -25,6 +25,19 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return cases("documents", "doc_id", "lang", "text").unionByName(requests).distinct()
 
 
+def p2_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with the share of its assistants' words that repeat, its distance and whether it is rejected."""
+    said = F.array_join(F.filter("messages", lambda m: m["role"] == "assistant")["content"], "\n")
+    rows = table(spark, folder, "audit_rows").select("id", said.alias("text"), "language_lane", "diversity")
+    lane = F.substring(F.lower(F.trim("language_lane")), 1, 2)
+    return repetition.repetition(rows, "id", "text", lane, F.col("diversity.persona_source"))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations rejected as outliers of which at least a third repeats."""
+    return p2_shares(spark, folder).where("rejected and share * 3 >= 1").select("id")
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Requests that are template residue, filler, an error page or a notice."""
     return residue.template_residue(table(spark, folder, "instruction_rows").select("id", "instruction")).select("id")
@@ -60,6 +73,8 @@ def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p2_shares": p2_shares,
     "p4_found": p4_found,
     "p10_found": p10_found,
     "p10_restored": p10_restored,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.llm import language, mojibake, neardup, repetition, residue
+from strataloom.llm import answers, language, mojibake, neardup, repetition, residue
 from strataloom.sources.tables import table
 
 
@@ -43,6 +43,12 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.template_residue(table(spark, folder, "instruction_rows").select("id", "instruction")).select("id")
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Questions whose answer is defective, outside the conversations of p2_found."""
+    rows = table(spark, folder, "audit_rows").select("id", "messages")
+    return answers.defects(rows, language.read_samples(spark, folder)).join(p2_found(spark, folder), "id", "left_anti").select("id", "exchange", "defect")
+
+
 def near_texts(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, int]]:
     """The texts of problem 7 and the least words of each field."""
     requests = table(spark, folder, "instruction_rows").select(F.lit("instruction").alias("field"), "id", F.col("instruction").alias("text"))
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p10_found": p10_found,
     "p10_restored": p10_restored,
+    "p5_found": p5_found,
     "p7_found": p7_found,
     "p7_groups": p7_groups,
 }

@@ -32,7 +32,7 @@ BANDS, ROWS, BITS = 40, 4, 128
 #: Fingerprints in one tree.
 SHARD = 2000
 
-SKETCH = "field string, id string, cid long, bits_hi long, bits_lo long, bands array<long>"
+SKETCH = "field string, id string, cid long, bits_hi long, bits_lo long, bands array<int>, tails array<smallint>"
 
 
 class BKTree:
@@ -120,7 +120,8 @@ def min_hashes(runs: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _band_keys(mins: np.ndarray, salt: int) -> np.ndarray:
+def _band_keys(mins: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Upper 32 and next 16 bits of a hash of each band: what tells bands apart at any number of texts, in little space."""
     keys = np.empty((len(mins), BANDS), np.uint64)
     for band in range(BANDS):
         mixed = np.full(len(mins), salt * 1009 + band, np.uint64)
@@ -128,7 +129,7 @@ def _band_keys(mins: np.ndarray, salt: int) -> np.ndarray:
             mixed = (mixed ^ mins[:, band * ROWS + row]) * np.uint64(0xD6E8FEB86659FD93)
             mixed ^= mixed >> np.uint64(32)
         keys[:, band] = mixed
-    return keys.view(np.int64)
+    return (keys >> np.uint64(32)).astype(np.uint32).view(np.int32), (keys & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)
 
 
 def _fingerprints(mins: np.ndarray) -> np.ndarray:
@@ -160,9 +161,10 @@ def sketches(texts: DataFrame, least_words: dict[str, int], run: int) -> DataFra
                     sizes = np.fromiter(map(len, some), np.int64, len(some))
                     mins = min_hashes(np.concatenate(some), np.cumsum(sizes) - sizes)
                     bits = _fingerprints(mins)
+                    bands, tails = _band_keys(mins, salts[field])
                     yield pd.DataFrame({
                         "field": field, "id": ids[first : first + 256], "cid": np.array(classes[first : first + 256], np.uint64).view(np.int64),
-                        "bits_hi": bits[:, 0], "bits_lo": bits[:, 1], "bands": list(_band_keys(mins, salts[field])),
+                        "bits_hi": bits[:, 0], "bits_lo": bits[:, 1], "bands": list(bands), "tails": list(tails),
                     })
 
     return texts.select("field", "id", "text").mapInPandas(sketch, SKETCH)
@@ -175,13 +177,15 @@ def _fingerprint(high: int, low: int) -> int:
 def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> DataFrame:
     """Pairs ``a < b`` of classes that share a band and whose fingerprints lie within the radius.
 
-    ``classes`` has ``cid``, ``bits_hi``, ``bits_lo`` and ``bands``. A band with at
+    ``classes`` has ``cid``, ``bits_hi``, ``bits_lo``, ``bands`` and ``tails``. A band with at
     most ``shard`` classes is one tree. A fuller one is cut into blocks of
     ``shard``; each pair of its blocks is a task, so no tree and no task grows.
     """
     radius = radius_of(similarity)
     spec = Window.partitionBy("band")
-    members = classes.select("cid", "bits_hi", "bits_lo", F.explode("bands").alias("band"))
+    members = classes.select("cid", "bits_hi", "bits_lo", "tails", F.posexplode("bands").alias("of", "band"))
+    band = F.shiftleft(F.col("of").cast("long"), 48).bitwiseOR(F.shiftleft(F.col("band").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)), 16)).bitwiseOR(F.get("tails", "of").cast("long").bitwiseAND(F.lit(0xFFFF)))
+    members = members.select("cid", "bits_hi", "bits_lo", band.alias("band"))
     members = members.withColumn("at", F.row_number().over(spec.orderBy("cid"))).withColumn("among", F.count("*").over(spec))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -235,17 +239,37 @@ def similarity_of(a: Column, b: Column) -> Column:
 
 
 def _run_sets(run: int):
-    @F.pandas_udf("array<string>")
+    """A pandas UDF from a text to 64-bit hashes of its distinct runs of words."""
+
+    @F.pandas_udf("array<long>")
     def sets(texts: pd.Series) -> pd.Series:
-        def of(text: str) -> list[str]:
+        def of(text: str) -> list[int]:
             tokens = words(text)
-            return list({" ".join(tokens[i : i + run]) for i in range(len(tokens) - run + 1)})
+            return [xxhash.xxh64_intdigest(r) - (1 << 63) for r in {" ".join(tokens[i : i + run]) for i in range(len(tokens) - run + 1)}]
 
         return texts.map(of)
 
     return sets
 
 
+#: Bits of the filter that keeps most of the texts out of the verification: 2 MB.
+FILTER = 1 << 24
+
+
+def only_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of ``df`` whose key may be in ``keys``, and all whose key is.
+
+    A bitmap of ``FILTER`` hashed keys, of a fixed size whatever the rows, is
+    broadcast; a join must follow. Nothing of ``df`` is shuffled.
+    """
+    spot = F.pmod(F.xxhash64(*on), F.lit(FILTER))
+    bitmap = keys.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bitmap"))
+    place = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.expr("substring(bitmap, cast(_place div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    rows = df.withColumn("bucket", F.bitmap_bucket_number(spot)).withColumn("_place", place).join(F.broadcast(bitmap), "bucket")
+    return rows.where((F.getbit(byte, F.expr("cast(_place % 8 as int)")) == 1)).drop("bucket", "_place", "bitmap")
+
+
 def near_duplicates(texts: DataFrame, least_words: dict[str, int], similarity: float = 0.8, run: int = 5, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """(members, links) of all texts with at least ``least_words[field]`` words.
 
@@ -262,11 +286,11 @@ def near_duplicates(texts: DataFrame, least_words: dict[str, int], similarity: f
     """
     rows = texts.where("id is not null and text is not null").select("field", F.col("id").cast("string").alias("id"), "text")
     drawn = durable(sketches(rows, least_words, run))
-    classes = drawn.groupBy("field", "cid").agg(F.min(F.struct("id", "bits_hi", "bits_lo", "bands")).alias("of"))
-    pairs = durable(tree_pairs(classes.select("cid", "of.bits_hi", "of.bits_lo", "of.bands"), similarity, shard))
+    classes = drawn.groupBy("field", "cid").agg(F.min(F.struct("id", "bits_hi", "bits_lo", "bands", "tails")).alias("of"))
+    pairs = durable(tree_pairs(classes.select("cid", "of.bits_hi", "of.bits_lo", "of.bands", "of.tails"), similarity, shard))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    ends = drawn.select("field", "cid", "id").join(ends, "cid", "left_semi").groupBy("field", "cid").agg(F.min("id").alias("id"))
-    sets = durable(rows.join(ends, ["field", "id"]).dropDuplicates(["field", "id"]).select("field", "cid", _run_sets(run)("text").alias("runs")))
+    ends = durable(drawn.select("field", "cid", "id").join(ends, "cid", "left_semi").groupBy("field", "cid").agg(F.min("id").alias("id")))
+    sets = durable(only_keys(rows, ends, ["field", "id"]).join(ends, ["field", "id"]).dropDuplicates(["field", "id"]).select("field", "cid", _run_sets(run)("text").alias("runs")))
     links = (
         pairs.join(sets.select(F.col("cid").alias("a"), "field", F.col("runs").alias("runs_a")), "a")
         .join(sets.select(F.col("cid").alias("b"), F.col("runs").alias("runs_b")), "b")

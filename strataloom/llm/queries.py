@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.llm import answers, language, mojibake, neardup, repetition, residue
+from strataloom.llm import answers, language, mixing, mojibake, neardup, packing, repetition, residue, sampling, tokens
+from strataloom.session import durable
 from strataloom.sources.tables import table
 
 
@@ -38,6 +39,48 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_shares(spark, folder).where("rejected and share * 3 >= 1").select("id")
 
 
+def conversation_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """``id, tokens`` of every conversation: the tokens of its messages."""
+    rows = table(spark, folder, "audit_rows").select("id", F.explode(F.concat(F.array(F.lit("")), F.coalesce(F.transform("messages", lambda m: m["content"]), F.array().cast("array<string>")))).alias("text"), "ingested_at")
+    counted = tokens.token_counts(rows, ["id", "ingested_at"], "text")
+    sums = counted.groupBy("id", "ingested_at").agg(F.sum("tokens").alias("tokens"))
+    return sums.groupBy("id").agg(F.max("tokens").alias("tokens"))
+
+
+def document_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """``doc_id, source, tokens`` of every document; the source in one spelling."""
+    rows = table(spark, folder, "documents").select("doc_id", one_spelling(F.col("source")).alias("source"), "text")
+    return tokens.token_counts(rows, ["doc_id", "source"], "text")
+
+
+def one_spelling(name):
+    """A name without differences of case, blanks, hyphens and underscores."""
+    return F.regexp_replace(F.lower(F.trim(name)), r"[\s_-]+", "_")
+
+
+def setting(spark: SparkSession, folder: str, name: str) -> float:
+    """A run setting."""
+    return table(spark, folder, "run_settings").where(F.col("setting") == name).first()["setting_value"]
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations whose stored count is more than twice or less than half the tokens of their messages."""
+    stored = table(spark, folder, "audit_rows").where("rendered_token_count is not null").groupBy("id").agg(F.min("rendered_token_count").cast("long").alias("stored"))
+    return stored.join(conversation_tokens(spark, folder), "id").where("stored > 2 * tokens or 2 * stored < tokens").select("id")
+
+
+def p3_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts and tokens of documents and conversations by source, language and domain, and by each alone."""
+    documents = table(spark, folder, "documents").select("doc_id", "source", "lang", "topic_domain", "text")
+    counted = tokens.token_counts(documents, ["source", "lang", "topic_domain"], "text")
+    of_documents = tokens.slice_totals(counted, {"source": one_spelling(F.col("source")), "language": language.named_language(F.col("lang")), "domain": one_spelling(F.col("topic_domain"))})
+    lanes = table(spark, folder, "audit_rows").groupBy("id").agg(F.min(F.struct("language_lane", "diversity.topic_domain")).alias("of"))
+    talks = conversation_tokens(spark, folder).join(lanes, "id").select("tokens", "of.language_lane", "of.topic_domain")
+    of_talks = tokens.slice_totals(talks, {"language": language.named_language(F.col("language_lane")), "domain": one_spelling(F.col("topic_domain"))})
+    of_talks = of_talks.select(F.lit("audit_rows").alias("record_table"), F.lit(None).cast("string").alias("source"), "language", "domain", "texts", "tokens")
+    return of_documents.select(F.lit("documents").alias("record_table"), "source", "language", "domain", "texts", "tokens").unionByName(of_talks)
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Requests that are template residue, filler, an error page or a notice."""
     return residue.template_residue(table(spark, folder, "instruction_rows").select("id", "instruction")).select("id")
@@ -49,6 +92,27 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return answers.defects(rows, language.read_samples(spark, folder)).join(p2_found(spark, folder), "id", "left_anti").select("id", "exchange", "defect")
 
 
+def drawn_sample(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The sample of problem 6 and its report."""
+    rows = table(spark, folder, "instruction_rows").select("id", F.substring(F.lower(F.trim("language_lane")), 1, 2).alias("language_lane"), F.lower(F.trim("diversity.topic_domain")).alias("topic_domain"))
+    return sampling.cell_sample(rows, table(spark, folder, "sample_targets"), setting(spark, folder, "sample_fraction"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells with fewer requests than needed."""
+    return drawn_sample(spark, folder)[1].where("short").select("language_lane", "topic_domain")
+
+
+def p6_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """The requests of the sample."""
+    return drawn_sample(spark, folder)[0]
+
+
+def p6_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The cells with what they need, have and give."""
+    return drawn_sample(spark, folder)[1]
+
+
 def near_texts(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, int]]:
     """The texts of problem 7 and the least words of each field."""
     requests = table(spark, folder, "instruction_rows").select(F.lit("instruction").alias("field"), "id", F.col("instruction").alias("text"))
@@ -67,6 +131,48 @@ def p7_groups(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.grouped(*neardup.near_duplicates(texts, {"instruction": 1, "messages": 1}, similarity=0.8, run=5))
 
 
+def filled(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
+    """The assignment of problem 8 and the capacity."""
+    capacity = int(setting(spark, folder, "container_capacity"))
+    return packing.containers(durable(document_tokens(spark, folder).select("doc_id", "tokens")), capacity), capacity
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that alone exceed a container."""
+    return filled(spark, folder)[0].where("oversized").select("doc_id").distinct()
+
+
+def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
+    """The container of every document, or of each piece of an oversized one."""
+    return filled(spark, folder)[0]
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The number of containers and the space that stays unused."""
+    return packing.fill_report(*filled(spark, folder))
+
+
+def mixed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The mix of problem 9 and its report."""
+    targets = table(spark, folder, "mix_targets").withColumn("source", one_spelling(F.col("source")))
+    return mixing.mix(durable(document_tokens(spark, folder)), targets, setting(spark, folder, "mix_fraction"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources that cannot reach their share."""
+    return mixed(spark, folder)[1].where("short").select("source")
+
+
+def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of the mix and how often each is used."""
+    return mixed(spark, folder)[0]
+
+
+def p9_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The target and the actual share of each source."""
+    return mixed(spark, folder)[1]
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents of whose text at least a part is garbled."""
     return mojibake.garbled(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id").distinct()
@@ -78,14 +184,10 @@ def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p1_found": p1_found,
-    "p2_found": p2_found,
-    "p2_shares": p2_shares,
-    "p4_found": p4_found,
-    "p10_found": p10_found,
-    "p10_restored": p10_restored,
-    "p5_found": p5_found,
-    "p7_found": p7_found,
-    "p7_groups": p7_groups,
+    f.__name__: f
+    for f in (
+        p1_found, p2_found, p2_shares, p3_found, p3_totals, p4_found, p5_found, p6_found, p6_report, p6_sample, p7_found, p7_groups,
+        p8_containers, p8_found, p8_report, p9_found, p9_mix, p9_report, p10_found, p10_restored,
+    )
 }
 SQL: dict[str, str] = {}

@@ -1,14 +1,14 @@
 """Problem 7: groups of records that are nearly the same text, over all rows.
 
 Method: BK-trees whose children are keyed by the Hamming distance of integer
-fingerprints. A fingerprint holds one bit of each of 128 min-hashes of a text's
-runs of words, so texts of similarity s differ in about 64 (1 - s) bits. A tree
+fingerprints. A fingerprint holds one bit of each of 160 min-hashes of a text's
+runs of words, so texts of similarity s differ in about 80 (1 - s) bits. A tree
 over all texts would prune nothing at the radius that similarity 0.5 needs, so
 the trees stand in shards: one for every band of min-hashes that texts share.
 Exact copies are one class before anything else, a tree never holds more than
 ``SHARD`` fingerprints (a fuller bucket is cut into several trees, and every
 pair of its blocks is a task of its own), and what the trees return is verified
-exactly on the words.
+on the runs of words themselves.
 
 The issue's method broadcasts the trees. Here each tree lies in the task of its
 shard instead: the trees of all rows have no size bound.
@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from strataloom.llm.text import words
 from strataloom.session import durable
 
-BANDS, ROWS, BITS = 40, 4, 128
+BANDS, ROWS, BITS = 40, 4, 160
 #: Fingerprints in one tree.
 SHARD = 2000
 
-SKETCH = "field string, id string, cid long, bits_hi long, bits_lo long, bands array<int>, tails array<smallint>"
+SKETCH = "field string, id string, cid long, bits_hi long, bits_lo long, bits_ex int, bands array<int>, tails array<smallint>"
 
 
 class BKTree:
@@ -132,9 +132,10 @@ def _band_keys(mins: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
     return (keys >> np.uint64(32)).astype(np.uint32).view(np.int32), (keys & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)
 
 
-def _fingerprints(mins: np.ndarray) -> np.ndarray:
+def _fingerprints(mins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     bits = ((mins[:, :BITS] * np.uint32(0x85EBCA6B)) >> np.uint32(31)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view(">i8").astype(np.int64)
+    packed = np.packbits(bits, axis=1)
+    return np.ascontiguousarray(packed[:, :16]).view(">i8").astype(np.int64), np.ascontiguousarray(packed[:, 16:]).view(">i4").astype(np.int32)[:, 0]
 
 
 def sketches(texts: DataFrame, least_words: dict[str, int], run: int) -> DataFrame:
@@ -160,46 +161,63 @@ def sketches(texts: DataFrame, least_words: dict[str, int], run: int) -> DataFra
                     some = runs[first : first + 256]
                     sizes = np.fromiter(map(len, some), np.int64, len(some))
                     mins = min_hashes(np.concatenate(some), np.cumsum(sizes) - sizes)
-                    bits = _fingerprints(mins)
+                    bits, extra = _fingerprints(mins)
                     bands, tails = _band_keys(mins, salts[field])
                     yield pd.DataFrame({
                         "field": field, "id": ids[first : first + 256], "cid": np.array(classes[first : first + 256], np.uint64).view(np.int64),
-                        "bits_hi": bits[:, 0], "bits_lo": bits[:, 1], "bands": list(bands), "tails": list(tails),
+                        "bits_hi": bits[:, 0], "bits_lo": bits[:, 1], "bits_ex": extra, "bands": list(bands), "tails": list(tails),
                     })
 
     return texts.select("field", "id", "text").mapInPandas(sketch, SKETCH)
 
 
-def _fingerprint(high: int, low: int) -> int:
-    return (high & (2**64 - 1)) << 64 | low & (2**64 - 1)
+def class_ids(texts: DataFrame, least_words: dict[str, int], run: int) -> DataFrame:
+    """``field, id, cid`` of each text that takes part: the sketches without their bits."""
+    salts = {field: i for i, field in enumerate(sorted(least_words))}
+
+    def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for field, id_, text in zip(batch["field"], batch["id"], batch["text"]):
+                tokens = words(text)
+                if len(tokens) >= max(run, least_words[field]):
+                    digest = xxhash.xxh64_intdigest(" ".join(tokens), salts[field])
+                    rows.append((field, id_, digest - (1 << 64) if digest >> 63 else digest))
+            yield pd.DataFrame(rows, columns=["field", "id", "cid"])
+
+    return texts.select("field", "id", "text").mapInPandas(name, "field string, id string, cid long")
+
+
+def _fingerprint(high: int, low: int, extra: int) -> int:
+    return ((high & (2**64 - 1)) << 64 | low & (2**64 - 1)) << 32 | extra & (2**32 - 1)
 
 
 def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> DataFrame:
     """Pairs ``a < b`` of classes that share a band and whose fingerprints lie within the radius.
 
-    ``classes`` has ``cid``, ``bits_hi``, ``bits_lo``, ``bands`` and ``tails``. A band with at
+    ``classes`` has ``cid``, ``bits_hi``, ``bits_lo``, ``bits_ex``, ``bands`` and ``tails``. A band with at
     most ``shard`` classes is one tree. A fuller one is cut into blocks of
     ``shard``; each pair of its blocks is a task, so no tree and no task grows.
     """
     radius = radius_of(similarity)
     spec = Window.partitionBy("band")
-    members = classes.select("cid", "bits_hi", "bits_lo", "tails", F.posexplode("bands").alias("of", "band"))
+    members = classes.select("cid", "bits_hi", "bits_lo", "bits_ex", "tails", F.posexplode("bands").alias("of", "band"))
     band = F.shiftleft(F.col("of").cast("long"), 48).bitwiseOR(F.shiftleft(F.col("band").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)), 16)).bitwiseOR(F.get("tails", "of").cast("long").bitwiseAND(F.lit(0xFFFF)))
-    members = members.select("cid", "bits_hi", "bits_lo", band.alias("band"))
+    members = members.select("cid", "bits_hi", "bits_lo", "bits_ex", band.alias("band"))
     members = members.withColumn("at", F.row_number().over(spec.orderBy("cid"))).withColumn("among", F.count("*").over(spec))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree, band = BKTree(), None
         for batch in batches:
             left, right = [], []
-            for key, cid, high, low, among in zip(*(batch[c].tolist() for c in ("band", "cid", "bits_hi", "bits_lo", "among"))):
+            for key, cid, high, low, extra, among in zip(*(batch[c].tolist() for c in ("band", "cid", "bits_hi", "bits_lo", "bits_ex", "among"))):
                 if among > shard:
                     left.append(key)
                     right.append(None)
                     continue
                 if key != band:
                     tree, band = BKTree(), key
-                bits = _fingerprint(high, low)
+                bits = _fingerprint(high, low, extra)
                 for other in tree.within(bits, radius):
                     left.append(other)
                     right.append(cid)
@@ -208,7 +226,7 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
 
     # the rows of a band lie together and in order, as the window left them; of a fuller band only one row comes, to name it
     found = members.where((F.col("among") > 1) & ((F.col("among") <= shard) | (F.col("at") == 1)))
-    found = durable(found.select("band", "cid", "bits_hi", "bits_lo", "among").mapInPandas(search, "a long, b long").distinct())
+    found = durable(found.select("band", "cid", "bits_hi", "bits_lo", "bits_ex", "among").mapInPandas(search, "a long, b long").distinct())
     fuller, found = found.where("b is null").select(F.col("a").alias("band")), found.where("b is not null")
     if fuller.isEmpty():
         return found
@@ -216,8 +234,8 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
     def block_pair(part: pd.DataFrame) -> pd.DataFrame:
         tree, left, right = BKTree(), [], []
         one, first = bool(part["i"].iloc[0] == part["j"].iloc[0]), part["i"].iloc[0]
-        for block, cid, high, low in sorted(zip(*(part[c].tolist() for c in ("block", "cid", "bits_hi", "bits_lo")))):
-            bits = _fingerprint(high, low)
+        for block, cid, high, low, extra in sorted(zip(*(part[c].tolist() for c in ("block", "cid", "bits_hi", "bits_lo", "bits_ex")))):
+            bits = _fingerprint(high, low, extra)
             if one or block != first:
                 for other in tree.within(bits, radius):
                     left.append(min(other, cid))
@@ -226,9 +244,9 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
                 tree.add(bits, cid)
         return pd.DataFrame({"a": left, "b": right}, dtype="int64")
 
-    blocks = members.join(fuller, "band", "left_semi").select("band", "cid", "bits_hi", "bits_lo", F.expr(f"(at - 1) div {shard}").alias("block"), F.expr(f"(among - 1) div {shard}").alias("last"))
+    blocks = members.join(fuller, "band", "left_semi").select("band", "cid", "bits_hi", "bits_lo", "bits_ex", F.expr(f"(at - 1) div {shard}").alias("block"), F.expr(f"(among - 1) div {shard}").alias("last"))
     blocks = blocks.withColumn("other", F.explode(F.expr("sequence(0L, last)")))
-    blocks = blocks.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "bits_hi", "bits_lo")
+    blocks = blocks.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "bits_hi", "bits_lo", "bits_ex")
     return found.unionByName(blocks.groupBy("band", "i", "j").applyInPandas(block_pair, "a long, b long")).distinct()
 
 
@@ -239,13 +257,13 @@ def similarity_of(a: Column, b: Column) -> Column:
 
 
 def _run_sets(run: int):
-    """A pandas UDF from a text to 64-bit hashes of its distinct runs of words."""
+    """A pandas UDF from a text to 32-bit hashes of its distinct runs of words."""
 
-    @F.pandas_udf("array<long>")
+    @F.pandas_udf("array<int>")
     def sets(texts: pd.Series) -> pd.Series:
         def of(text: str) -> list[int]:
             tokens = words(text)
-            return [xxhash.xxh64_intdigest(r) - (1 << 63) for r in {" ".join(tokens[i : i + run]) for i in range(len(tokens) - run + 1)}]
+            return [xxhash.xxh32_intdigest(r) - (1 << 31) for r in {" ".join(tokens[i : i + run]) for i in range(len(tokens) - run + 1)}]
 
         return texts.map(of)
 
@@ -285,9 +303,10 @@ def near_duplicates(texts: DataFrame, least_words: dict[str, int], similarity: f
     0.996 and one at 0.65 or more with over 0.999.
     """
     rows = texts.where("id is not null and text is not null").select("field", F.col("id").cast("string").alias("id"), "text")
-    drawn = durable(sketches(rows, least_words, run))
-    classes = drawn.groupBy("field", "cid").agg(F.min(F.struct("id", "bits_hi", "bits_lo", "bands", "tails")).alias("of"))
-    pairs = durable(tree_pairs(classes.select("cid", "of.bits_hi", "of.bits_lo", "of.bands", "of.tails"), similarity, shard))
+    drawn = durable(class_ids(rows, least_words, run))
+    # the sketches are large and read once, so they are not kept
+    classes = sketches(rows, least_words, run).groupBy("field", "cid").agg(F.min(F.struct("id", "bits_hi", "bits_lo", "bits_ex", "bands", "tails")).alias("of"))
+    pairs = durable(tree_pairs(classes.select("cid", "of.bits_hi", "of.bits_lo", "of.bits_ex", "of.bands", "of.tails"), similarity, shard))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     ends = durable(drawn.select("field", "cid", "id").join(ends, "cid", "left_semi").groupBy("field", "cid").agg(F.min("id").alias("id")))
     sets = durable(only_keys(rows, ends, ["field", "id"]).join(ends, ["field", "id"]).dropDuplicates(["field", "id"]).select("field", "cid", _run_sets(run)("text").alias("runs")))

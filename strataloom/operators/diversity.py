@@ -36,10 +36,17 @@ def hash_sample(df: DataFrame, by: list[str], key: str, tag: str, k: int = 100)
 def char_grams(text: Column, least: int = 3, most: int = 5) -> Column:
     """Character runs inside words padded by blanks, with repeats."""
     padded = F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"(\S+)"), 1), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-    runs = [
-        F.flatten(F.transform(padded, lambda w, n=n: F.when(F.length(w) >= n, F.transform(F.sequence(F.lit(1), F.length(w) - n + 1), lambda i: F.substring(w, i, F.lit(n)))).otherwise(F.array(w) if n == least else F.array().cast("array<string>"))))
-        for n in range(least, most + 1)
-    ]
+
+    def runs_of(n: int):
+        none = F.array().cast("array<string>")
+
+        def of(word: Column) -> Column:
+            runs = F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substring(word, i, F.lit(n)))
+            return F.when(F.length(word) >= n, runs).otherwise(F.array(word) if n == least else none)
+
+        return F.flatten(F.transform(padded, of))
+
+    runs = [runs_of(n) for n in range(least, most + 1)]
     return F.concat(*runs)
 
 

@@ -24,17 +24,20 @@ def build_session(app: str = "strataloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    session without that setting (a local test) gets a temporary folder.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the one the cluster names in
+    ``spark.checkpoint.dir``. Only a session without that setting (a local test)
+    gets a temporary folder."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", "") or context.getConf().get("spark.checkpoint.dir", "")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="strataloom-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder and cut its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -157,7 +157,8 @@ def named_language(label: Column) -> Column:
 
     @F.pandas_udf("string")
     def named(labels: pd.Series) -> pd.Series:
-        return labels.map({x: language_of_label(x) for x in labels.dropna().unique()})
+        known = {x: language_of_label(x) for x in labels.dropna().unique()}
+        return pd.Series([known.get(x) for x in labels], dtype=object)
 
     return named(label)
 

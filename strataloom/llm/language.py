@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom.llm.ppm import LanguageCoder
-from strataloom.llm.text import language_of_label, words
+from strataloom.llm.text import in_parts, language_of_label, words
 from strataloom.sources.tables import table
 
 #: Bits that a change of language costs.
@@ -146,8 +146,10 @@ def labeller(samples: tuple[tuple[str, str], ...], segments: bool = True):
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = coder_of(samples)
         for texts in batches:
-            found = pd.DataFrame(label_texts(list(texts), coder), columns=["language", "confidence", "languages", "segments"])
-            yield found if segments else found.drop(columns="segments")
+            rows: list[tuple] = []
+            for part in in_parts([texts]):
+                rows += label_texts(list(part), coder) if segments else [row[:3] for row in label_texts(list(part), coder)]
+            yield pd.DataFrame(rows, columns=["language", "confidence", "languages", "segments"][: 4 if segments else 3])
 
     return label
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataloom.llm.text import words
+from strataloom.llm.text import in_parts, words
 from strataloom.session import durable
 
 BANDS, ROWS, BITS = 40, 4, 160
@@ -148,7 +148,7 @@ def sketches(texts: DataFrame, least_words: dict[str, int], run: int) -> DataFra
     salts = {field: i for i, field in enumerate(sorted(least_words))}
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in in_parts(batches):
             for field, part in batch.groupby("field"):
                 least, ids, classes, runs = max(run, least_words[field]), [], [], []
                 for id_, text in zip(part["id"], part["text"]):

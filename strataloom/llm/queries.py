@@ -190,4 +190,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         p8_containers, p8_found, p8_report, p9_found, p9_mix, p9_report, p10_found, p10_restored,
     )
 }
-SQL: dict[str, str] = {}
+_SAID = "array_to_string(list_transform({0}, lambda m: m.content), '{1}')"
+_WORDS = "regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}]+')"
+
+#: The same results in DuckDB's SQL, where SQL can express them.
+SQL: dict[str, str] = {
+    "p2_found": f"""WITH one AS (SELECT id, any_value(messages) AS messages FROM audit_rows GROUP BY id),
+  t AS (SELECT id, {_WORDS.format(_SAID.format("list_filter(messages, lambda m: m.role = 'assistant')", " "))} AS w FROM one),
+  g AS (SELECT id, len(w) AS n, w, unnest(range(1, len(w) - 3)) AS i FROM t),
+  e AS (SELECT id, n, i, min(i) OVER (PARTITION BY id, array_to_string(w[i:i + 4], ' ')) AS f FROM g),
+  m AS (SELECT DISTINCT id, n, i + k AS p FROM e, range(0, 5) AS r(k) WHERE f < i)
+  SELECT id FROM m GROUP BY id, n HAVING count(*) * 3 >= n""",
+    "p6_found": """WITH r AS (SELECT DISTINCT id, substring(lower(trim(language_lane)), 1, 2) AS language_lane, lower(trim(diversity.topic_domain)) AS topic_domain FROM instruction_rows),
+  h AS (SELECT t.language_lane, t.topic_domain, target_share, min_rows, count(r.id) AS present FROM sample_targets t LEFT JOIN r ON r.language_lane = t.language_lane AND r.topic_domain = t.topic_domain GROUP BY ALL),
+  n AS (SELECT floor((SELECT setting_value FROM run_settings WHERE setting = 'sample_fraction') * sum(present)) AS size FROM h)
+  SELECT language_lane, topic_domain FROM h, n WHERE present < greatest(min_rows, floor(target_share * size + 1e-9))""",
+    "p7_found": f"""WITH x AS (SELECT 'instruction' AS field, id, any_value(instruction) AS body, 60 AS least FROM instruction_rows GROUP BY id
+    UNION ALL SELECT 'messages', id, any_value({_SAID.format("messages", " ")}), 100 FROM audit_rows GROUP BY id),
+  t AS (SELECT field, id, least, {_WORDS.format("body")} AS w FROM x),
+  g AS (SELECT DISTINCT field, id, array_to_string(w[i:i + 2], ' ') AS run FROM (SELECT field, id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) >= least)),
+  n AS (SELECT field, id, count(*) AS runs FROM g GROUP BY ALL),
+  b AS (SELECT a.field, a.id AS id_a, b.id AS id_b, count(*) AS shared FROM g a JOIN g b ON a.field = b.field AND a.run = b.run AND a.id < b.id GROUP BY ALL)
+  SELECT b.field, id_a, id_b FROM b JOIN n p ON p.field = b.field AND p.id = id_a JOIN n q ON q.field = b.field AND q.id = id_b WHERE 2 * shared >= p.runs + q.runs - shared""",
+}

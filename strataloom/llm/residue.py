@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.text import WORD
+from strataloom.llm.text import WORD, in_parts
 from strataloom.session import durable
 
 #: Different neighbours that make an opening one of free requests.
@@ -113,7 +113,7 @@ def features(df: DataFrame, key: str, text: str) -> DataFrame:
     """One row of ``FEATURES`` for every row of ``df``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in in_parts(batches):
             rows = [(k, *features_of(t)) for k, t in zip(batch["id"], batch["text"])]
             yield pd.DataFrame(rows, columns=["id", "page", "openings", "slot_openings", "slots", "filler", "notice"])
 

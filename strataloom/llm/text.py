@@ -19,6 +19,17 @@ LANGUAGE_NAMES = {
 UNKNOWN_LABELS = {"", "und", "unknown", "xx", "none", "null", "n/a", "na", "mul", "zxx", "?", "-"}
 
 
+#: Texts that a task holds as words at one time.
+AT_ONCE = 1000
+
+
+def in_parts(batches, size: int = AT_ONCE):
+    """Arrow batches in parts of at most ``size`` rows, so that a task's memory doesn't follow the length of its batches."""
+    for batch in batches:
+        for first in range(0, len(batch), size):
+            yield batch.iloc[first : first + size]
+
+
 def words(text: str | None) -> list[str]:
     """The lower-case words of a text; none for null."""
     return WORD.findall(text.lower()) if text else []

@@ -51,6 +51,12 @@ PAGE = re.compile(
     r"nothing matches|findes ikke|blev ikke fundet|ikke fundet|unavailable|utilgængelig|timed? ?out|gateway|maintenance|vedligeholdelse|too many requests|quota|session|captcha|robot|sign in|log ?in|log ind|loading|indlæs\w*|"
     r"reload|connection is secure|status|stack trace|segmentation fault|null ?pointer|undefined|access|adgang|subscri\w+|abonn\w+|40\d|41\d|42\d|50\d)\b"
 )
+#: One of these stands in every match of the two vocabularies.
+_FILLER_HINTS = ("placeholder", "fill", "sample text", "dummy", "text to come", "text goes", "fyldtekst", "eksempeltekst", "brødtekst", "pladsholder", "kommer der", "skriv noget", "lorem")
+_PAGE_HINTS = (
+    "script", "cookie", "browser", "err", "fejl", "exception", "traceback", "forbidden", "denied", "nægtet", "permission", "unauthori", "found", "matches", "findes", "fundet", "available", "utilgængelig", "time", "gateway", "mainten", "vedligehold",
+    "requests", "quota", "session", "captcha", "robot", "sign in", "log", "load", "indlæs", "secure", "status", "trace", "fault", "pointer", "undefined", "access", "adgang", "subscri", "abonn", "40", "41", "42", "50",
+)
 _QUOTED = re.compile(r"`[^`\n]*`|“[^”\n]*”|«[^»\n]*»|„[^“”\n]*[“”]|(?<!\w)\"[^\"\n]{0,80}\"(?!\w)|(?<!\w)'[^'\n]{0,80}'(?!\w)|‘[^’\n]*’")
 _CODE = re.compile(r"```.*?(?:```|\Z)", re.S)
 _END = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\s*\n\s*")
@@ -82,6 +88,8 @@ def masked(text: str) -> list[str]:
 def features_of(text: str | None) -> tuple:
     """(page, openings, openings of sentences with slots, slots, filler, notice) of a text.
 
+    A text is filler where more than half of its words but names and numbers are.
+
     Null and blank texts are filler: there is nothing but a blank.
     """
     if not text or text.isspace():
@@ -104,9 +112,12 @@ def features_of(text: str | None) -> tuple:
         page += tokens
         if any(token != "#" for token in tokens[:2]):
             openings[_opening(tokens)] = None
-    tokens = [t.lower() for t in WORD.findall(text) if not t.isdigit()]
-    filler = bool(FILLER.search(plain)) or not tokens or sum(t in FILLER_WORDS for t in tokens) * 2 > len(tokens)
-    return _hash(" ".join(page)), list(openings), list(holed), slots, filler, bool(PAGE.search(text))
+    low = text.lower()
+    filler = any(hint in low for hint in _FILLER_HINTS) and bool(FILLER.search(text))
+    plain_words = [token for token in page if token != "#"]
+    filler = filler or not WORD.search(text) or bool(plain_words) and 2 * sum(token in FILLER_WORDS for token in plain_words) > len(plain_words)
+    notice = any(hint in low for hint in _PAGE_HINTS) and bool(PAGE.search(text))
+    return _hash(" ".join(page)), list(openings), list(holed), slots, filler, notice
 
 
 def features(df: DataFrame, key: str, text: str) -> DataFrame:

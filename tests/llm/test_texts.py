@@ -208,3 +208,12 @@ def test_garbled_texts_come_back(spark):
     assert set(got) == {1000 + k for k in range(len(GARBLED))} | {2000, 2001}
     assert all(got[1000 + k] == plain[k] for k in range(len(GARBLED))) and got[2000] == plain[7] and got[2001] is None
     assert mojibake.garbled(df.limit(0)).count() == 0
+
+
+def test_hints_cover_the_vocabularies():
+    pages = "javascript noscript cookie browser scripts scripting error errors fejl exception traceback forbidden denied nægtet permission unauthorized found findes fundet unavailable utilgængelig timeout gateway maintenance vedligeholdelse quota session captcha robot login loading indlæs reload status undefined access adgang subscribe abonnement 404 410 429 503".split()
+    for word in [*pages, "not be found", "nothing matches", "ikke fundet", "too many requests", "sign in", "log ind", "connection is secure", "stack trace", "segmentation fault", "null pointer", "timed out"]:
+        if residue.PAGE.search(word):
+            assert any(hint in word for hint in residue._PAGE_HINTS), word
+    for word in ("placeholder", "filler text", "fill text", "sample text", "dummy text", "text to come", "text goes here", "fyldtekst", "eksempeltekst", "brødtekst", "pladsholder", "kommer der tekst", "skriv noget", "lorem ipsum"):
+        assert residue.FILLER.search(word) and any(hint in word for hint in residue._FILLER_HINTS), word

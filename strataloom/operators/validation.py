@@ -29,17 +29,25 @@ def _by_language(ladder: Column, expected: Column, detected: Column, confidence:
     )
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def request_verdict(instruction: Column, expected: Column, detected: Column, confidence: Column) -> Column:
     """Verdict on a request."""
-    text = T.stripped(F.coalesce(instruction, F.lit("")))
-    ladder = (
-        F.when(text == "", _verdict(False, "empty instruction"))
-        .when(T.has_control(text), _verdict(False, "invalid control character"))
-        .when(T.leaks_prompt(text), _verdict(False, "generation-control leakage"))
-        .when(F.length(text) < 20, _verdict(False, "instruction too short to be useful"))
-        .when(T.looks_like_code(text) | (F.length(text) < 80), _verdict(True, "language audit required", uncertain=True))
-    )
-    return _by_language(ladder, expected, detected, confidence)
+
+    def rules(text: Column) -> Column:
+        ladder = (
+            F.when(text == "", _verdict(False, "empty instruction"))
+            .when(T.has_control(text), _verdict(False, "invalid control character"))
+            .when(T.leaks_prompt(text), _verdict(False, "generation-control leakage"))
+            .when(F.length(text) < 20, _verdict(False, "instruction too short to be useful"))
+            .when((F.length(text) < 80) | T.looks_like_code(text), _verdict(True, "language audit required", uncertain=True))
+        )
+        return _by_language(ladder, expected, detected, confidence)
+
+    return let(T.stripped(F.coalesce(instruction, F.lit(""))), rules)
 
 
 def pair_verdict(instruction: Column, response: Column, expected: Column, detected: Column, confidence: Column) -> Column:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.language import coder_of, label_texts
+from strataloom.llm.language import coder_of, label_texts, unquoted
 from strataloom.llm.text import WORD, in_parts, words
 from strataloom.session import durable
 
@@ -34,6 +34,8 @@ SHORT_WORDS, SHORT_SENTENCES = 80, 5
 LANGUAGE_BITS = 20.0
 #: Words that an answer needs to have a language.
 LANGUAGE_WORDS = 4
+#: Bits within which two languages count as tied, beyond any rounding of sums.
+TIED_BITS = 1e-6
 
 #: How the first person declines, by language.
 DECLINES = re.compile(
@@ -119,6 +121,26 @@ def is_copy(asked: list[str], said: list[str]) -> bool:
     return own <= 4 and own * 2 <= len(said) and back * 5 >= 3 * (len(asked) - run + 1)
 
 
+def own_words(text: str, said: list[str]) -> list[str]:
+    """The words of a text, ``said``, without those of its quotations and code."""
+    plain = unquoted(text)
+    return said if plain == text else words(plain)
+
+
+def may_differ(costs: np.ndarray) -> np.ndarray:
+    """Whether the main languages of two texts can differ, for rows of costs that
+    hold a question and its answer by turns.
+
+    Where the same language is cheapest in both and not tied, it is the main
+    language that ``label_texts`` gives to both, whatever their segments; the
+    answer is then no shorter in its own language than in the question's.
+    """
+    least = np.partition(costs, min(1, costs.shape[1] - 1), axis=1)
+    tied = (least[:, 1] - least[:, 0] <= TIED_BITS) if costs.shape[1] > 1 else np.zeros(len(costs), bool)
+    main = costs.argmin(axis=1)
+    return (main[::2] != main[1::2]) | tied[::2] | tied[1::2]
+
+
 def is_truncated(answer: str) -> bool:
     """Whether a text breaks off: an open code block, or no end of a sentence
     where its siblings have one. A list of bare items is complete where its last item is like the others."""
@@ -245,12 +267,12 @@ def defects(df: DataFrame, samples: tuple[tuple[str, str], ...], key: str = "id"
                         if is_truncated(answer):
                             defect = "truncated"
                         else:
-                            open_.append((len(rows), question, answer, asked, theirs, ours))
+                            open_.append((len(rows), question, answer, asked, own_words(question, theirs), own_words(answer, ours)))
                 prompt = xxhash.xxh64_intdigest(" ".join(theirs)) - (1 << 63) if keys else 0
                 rows.append([id_, exchange, defect, [k[0] for k in keys], [k[1] for k in keys], [k[2] for k in keys], prompt])
-            # whole texts first; only where their languages differ are quotations, code and segments looked at
-            whole = coder.costs([t for x in open_ for t in x[4:]])[0].argmin(axis=1) if open_ else ()
-            open_ = [x for i, x in enumerate(open_) if whole[2 * i] != whole[2 * i + 1]]
+            # segments are looked at only where the languages of the texts without quotations and code can differ
+            apart = may_differ(coder.costs([t for x in open_ for t in x[4:]])[0]) if open_ else ()
+            open_ = [x for x, differ in zip(open_, apart) if differ]
             if open_:
                 asked_in = label_texts([x[1] for x in open_], coder)
                 said_in = label_texts([x[2] for x in open_], coder)

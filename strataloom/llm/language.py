@@ -56,6 +56,15 @@ def _blank(match: re.Match) -> str:
     return " " * len(match[0])
 
 
+def unquoted(text: str) -> str:
+    """A text with blanks in place of fenced code and quoted spans, of the same length."""
+    if "`" in text:
+        text = _CODE.sub(_blank, text)
+    if any(mark in text for mark in "“«„\"‘"):
+        text = _QUOTED.sub(_blank, text)
+    return text
+
+
 def spans_of(text: str) -> list[tuple[int, int]]:
     """Start and end of every non-blank sentence."""
     spans, start = [], 0
@@ -101,11 +110,7 @@ def label_texts(texts: list[str | None], coder: LanguageCoder) -> list[tuple]:
     for text in texts:
         spans = []
         if text:
-            plain = text
-            if "`" in plain:
-                plain = _CODE.sub(_blank, plain)
-            if any(mark in plain for mark in "“«„\"‘"):
-                plain = _QUOTED.sub(_blank, plain)
+            plain = unquoted(text)
             for start, end in spans_of(plain):
                 found = words(plain[start:end])
                 if found:

@@ -180,6 +180,31 @@ def test_defects(spark):
     assert answers.defects(df.limit(0), SAMPLES).count() == 0
 
 
+def test_languages_without_quotations_and_code(spark):
+    """A quotation or code block that outweighs a text's own words gives the text no language."""
+    english, danish = "Please compare both offers and tell the committee what changed.", "Kassereren talte alle krukkerne i kælderen. Vi skrev hvert trin ned før mødet."
+    own = "It was easier than we thought. We wrote down every step before the meeting."
+    said = " ".join(DA * 2)
+    rows = [
+        ("quoted question", english + " “" + said + "”", danish), ("code question", english + "\n```\n" + said + "\n```", danish),
+        ("quoted answer", DA[1], own + " “" + said + "”"), ("code answer", DA[1], own + "\n```\n" + said + "\n```"),
+        ("same", english + " “" + said + "”", own), ("quotes", english, own + " “" + said + "”"),
+    ]
+    df = spark.createDataFrame([(k, [("user", q), ("assistant", a)]) for k, q, a in rows], "id string, messages array<struct<role:string,content:string>>")
+    assert found(answers.defects(df, SAMPLES), "id", "defect") == {(k, "language") for k in ("quoted question", "code question", "quoted answer", "code answer")}
+
+
+def test_skipped_exchanges_have_one_main_language():
+    coder = ppm.LanguageCoder(SAMPLES)
+    rng = random.Random(8)
+    pieces = [s + "." for t in EN + DA + DE for s in t.rstrip(".").split(". ")]
+    make = lambda: " ".join(rng.choice(["{}", "{}", "“{}”", "```{}```"]).format(rng.choice(pieces)) for _ in range(rng.randrange(1, 6)))
+    texts = [make() for _ in range(600)]
+    labels = language.label_texts(texts, coder)
+    apart = answers.may_differ(coder.costs([answers.own_words(t, text.words(t)) for t in texts])[0])
+    assert not apart.all() and all(a or labels[2 * i][0] == labels[2 * i + 1][0] or None in (labels[2 * i][0], labels[2 * i + 1][0]) for i, a in enumerate(apart))
+
+
 def test_maximal_segments_against_brute_force():
     rng = random.Random(4)
     for _ in range(100):

@@ -193,6 +193,8 @@ def exchange_rows(df: DataFrame, key: str, messages: str) -> DataFrame:
 
 
 BANDS, ROWS = 12, 2
+#: Seeds, and templates, of one band that one task compares; fuller bands are cut into blocks.
+BLOCK = 2000
 
 
 @lru_cache(maxsize=1)
@@ -216,8 +218,10 @@ def refusal_sentences(rows: DataFrame) -> DataFrame:
     """The masked sentences that refuse: seeds, and templates verified to be like
     a seed that recur across ``PROMPTS`` different questions.
 
-    ``rows`` has ``masked, declines, prompt``. Each band joins to one seed only,
-    so the work stays in proportion to the sentences.
+    ``rows`` has ``masked, declines, prompt``. A template is compared with every
+    seed that shares a band with it. The seeds and the templates of a band are
+    cut into blocks of about ``BLOCK``; each pair of blocks is compared by itself,
+    so no task grows with a band and no pair is lost.
     """
     known = rows.groupBy("masked").agg(F.max("declines").alias("declines"), F.count_distinct("prompt").alias("prompts"))
 
@@ -225,18 +229,25 @@ def refusal_sentences(rows: DataFrame) -> DataFrame:
     def bands(masked: pd.Series) -> pd.Series:
         return masked.map(_bands)
 
-    @F.pandas_udf("double")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        def of(x: str, y: str) -> float:
-            p, q = _pairs_of_words(x), _pairs_of_words(y)
-            return len(p & q) / len(p | q)
-
-        return pd.Series([of(x, y) for x, y in zip(a, b)], dtype="float64")
-
     known = durable(known.where("masked <> ''").withColumn("bands", bands("masked")))
-    seeds = known.where("declines").select("masked", F.explode("bands").alias("band")).groupBy("band").agg(F.min("masked").alias("seed"))
-    near = known.where(f"not declines and prompts >= {PROMPTS}").select("masked", F.explode("bands").alias("band")).join(seeds, "band").select("masked", "seed").distinct()
-    near = near.where(alike("masked", "seed") >= ALIKE).select("masked").distinct()
+    banded = known.where(f"declines or prompts >= {PROMPTS}").select("masked", "declines", F.explode("bands").alias("band"))
+    shared = banded.groupBy("band").agg(F.count_if("declines").alias("seeds"), F.count_if(~F.col("declines")).alias("others")).where("seeds > 0 and others > 0")
+    shared = shared.select("band", F.expr(f"(seeds - 1) div {BLOCK} + 1").alias("seed_blocks"), F.expr(f"(others - 1) div {BLOCK} + 1").alias("other_blocks"))
+    banded = banded.join(shared, "band").withColumn("words", F.split("masked", " "))
+    # as _pairs_of_words
+    banded = banded.withColumn("pairs", F.expr("array_distinct(zip_with(slice(array_insert(words, 1, '^'), 1, size(words)), words, (a, b) -> concat(a, ' ', b)))"))
+
+    def blocks(side: str, own: str, other: str, mine: str, theirs: str) -> DataFrame:
+        """The rows of one side with the number of their block, once for each block of the other side."""
+        rows = banded.where(side).withColumn(mine, F.expr(f"pmod(xxhash64(masked), {own})"))
+        return rows.select("band", mine, F.explode(F.expr(f"sequence(0L, {other} - 1)")).alias(theirs), "masked", "pairs")
+
+    seeds = blocks("declines", "seed_blocks", "other_blocks", "i", "j").alias("s")
+    near = blocks("not declines", "other_blocks", "seed_blocks", "j", "i").alias("t")
+    both = F.size(F.array_intersect("s.pairs", "t.pairs"))
+    alike = both / (F.size("s.pairs") + F.size("t.pairs") - both) >= ALIKE
+    same = [F.col(f"s.{c}") == F.col(f"t.{c}") for c in ("band", "i", "j")]
+    near = near.join(seeds, same[0] & same[1] & same[2] & alike, "left_semi").select("masked").distinct()
     return known.where("declines").select("masked").unionByName(near)
 
 

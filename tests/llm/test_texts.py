@@ -205,6 +205,27 @@ def test_skipped_exchanges_have_one_main_language():
     assert not apart.all() and all(a or labels[2 * i][0] == labels[2 * i + 1][0] or None in (labels[2 * i][0], labels[2 * i + 1][0]) for i, a in enumerate(apart))
 
 
+@pytest.mark.parametrize("block", [2000, 3])
+def test_templates_are_compared_with_all_seeds(spark, monkeypatch, block):
+    """All templates that share a band with any seed like them, also where bands have many seeds."""
+    monkeypatch.setattr(answers, "BLOCK", block)
+    rng = random.Random(9)
+    ends = [f"w{i}" for i in range(6)]
+    make = lambda: "i can t " + " ".join(rng.choice(ends) for _ in range(rng.randrange(2, 7)))
+    seeds, others = {make() for _ in range(25)}, {make() for _ in range(80)}
+    others -= seeds
+    rare = set(sorted(others)[:10])
+    rows = [(s, True, 1) for s in seeds] + [(o, False, p) for o in others for p in range(2 if o in rare else 3)] + [("", False, p) for p in range(4)]
+    pairs, bands = answers._pairs_of_words, answers._bands
+    like = lambda a, b: len(pairs(a) & pairs(b)) / len(pairs(a) | pairs(b)) >= answers.ALIKE and any(x == y for x, y in zip(bands(a), bands(b)))
+    wanted = {o for o in others - rare if any(like(o, s) for s in seeds)}
+    # what one seed for each band would find
+    least = {b: min(s for s in seeds if b in bands(s)) for s in seeds for b in bands(s)}
+    assert wanted - {o for o in wanted if any(b in least and like(o, least[b]) for b in bands(o))}
+    got = answers.refusal_sentences(spark.createDataFrame(rows, "masked string, declines boolean, prompt long"))
+    assert found(got, "masked") == seeds | wanted
+
+
 def test_maximal_segments_against_brute_force():
     rng = random.Random(4)
     for _ in range(100):

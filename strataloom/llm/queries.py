@@ -26,6 +26,17 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return cases("documents", "doc_id", "lang", "text").unionByName(requests).distinct()
 
 
+def p1_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and request with its language, the confidence and the language of each segment."""
+    samples = language.read_samples(spark, folder)
+
+    def labels(name: str, key: str, text: str) -> DataFrame:
+        found = language.detect(table(spark, folder, name).select(key, text), text, samples)
+        return found.select(F.lit(name).alias("record_table"), F.col(key).cast("string").alias("record_key"), "detected.language", "detected.confidence", "detected.segments")
+
+    return labels("documents", "doc_id", "text").unionByName(labels("instruction_rows", "id", "instruction")).distinct()
+
+
 def p2_shares(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation with the share of its assistants' words that repeat, its distance and whether it is rejected."""
     said = F.array_join(F.filter("messages", lambda m: m["role"] == "assistant")["content"], "\n")
@@ -186,7 +197,7 @@ def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p2_found, p2_shares, p3_found, p3_totals, p4_found, p5_found, p6_found, p6_report, p6_sample, p7_found, p7_groups,
+        p1_found, p1_labels, p2_found, p2_shares, p3_found, p3_totals, p4_found, p5_found, p6_found, p6_report, p6_sample, p7_found, p7_groups,
         p8_containers, p8_found, p8_report, p9_found, p9_mix, p9_report, p10_found, p10_restored,
     )
 }

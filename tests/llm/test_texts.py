@@ -7,7 +7,7 @@ import pytest
 from conftest import found
 from pyspark.sql import functions as F
 
-from strataloom.llm import answers, language, mojibake, ppm, repetition, residue, text
+from strataloom.llm import answers, language, mojibake, ppm, queries, repetition, residue, text
 
 EN = ["The treasurer counted all the jars in the cellar. We wrote down every step before the meeting.", "Please compare both offers and tell the committee what changed. It was easier than we thought."]
 DA = ["Kassereren talte alle krukkerne i kælderen. Vi skrev hvert trin ned før mødet.", "Sammenlign gerne begge tilbud og fortæl bestyrelsen, hvad der blev ændret. Det var lettere, end vi troede."]
@@ -75,6 +75,24 @@ def test_cases_and_clashing_columns(spark):
     assert language.detect(df.limit(0), "text", SAMPLES).count() == 0
 
 
+def test_labels_of_all_documents_and_requests(spark, tmp_path):
+    """Every text has its row with language, confidence and segments, whatever its label."""
+    mixed = " ".join(EN) + "\n\n" + " ".join(DA)
+    documents = [(1, EN[1], "en"), (2, mixed, "en"), (3, None, None), (3, None, None), (4, "12 34", "da")]
+    requests = [("a", DA[1], "da"), ("a", DA[1], "da"), ("b", DE[1], "en")]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(requests, "id string, instruction string, language_lane string").write.parquet(f"{tmp_path}/instruction_rows.parquet")
+    spark.createDataFrame([(i, *s) for i, s in enumerate(SAMPLES)], "sample_id long, lang string, text string").write.parquet(f"{tmp_path}/language_samples.parquet")
+    rows = queries.QUERIES["p1_labels"](spark, str(tmp_path)).collect()
+    got = {(r.record_table, r.record_key): (r.language, r.confidence, [tuple(s) for s in r.segments]) for r in rows}
+    texts = {("documents", str(k)): t for k, t, _ in documents} | {("instruction_rows", k): t for k, t, _ in requests}
+    wanted = dict(zip(texts, language.label_texts(list(texts.values()), ppm.LanguageCoder(SAMPLES))))
+    assert len(rows) == len(got) and set(got) == set(wanted)
+    for key, (code, sure, _, segments) in wanted.items():
+        assert got[key][0] == code and got[key][1] == pytest.approx(sure) and [s[:3] for s in got[key][2]] == [s[:3] for s in segments], key
+    assert [s[2] for s in got["documents", "2"][2]] == ["en", "da"] and got["documents", "3"] == (None, 0.0, [])
+
+
 def brute_repeated(tokens, run=5):
     marked = set()
     for i in range(len(tokens) - run + 1):

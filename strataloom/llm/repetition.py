@@ -25,7 +25,7 @@ from strataloom.session import durable
 RUN = 5
 #: Steps of the grid to one unit of a transformed statistic.
 STEPS = 4
-#: Texts below which a stratum is pooled with its language, and a language with all.
+#: Texts below which a stratum is judged by all texts of its language, and a language by all texts.
 LEAST = 200
 #: Share of a stratum that the estimate is made from.
 CORE = 0.75
@@ -135,7 +135,9 @@ def repetition(df: DataFrame, key: str, text: str, language: Column, source: Col
         F.when(F.col("count") >= LEAST, F.concat_ws("\x1f", F.lit("s"), "lang", "source")).when(F.col("of_lang") >= LEAST, F.concat_ws("\x1f", F.lit("l"), "lang")).otherwise("all").alias("stratum"),
     )
     stats = stats.join(strata, ["lang", "source"])
-    levels = stats.unionByName(stats.where("stratum <> 'all'").withColumn("stratum", F.lit("all")))
+    # a language with small sources is estimated from all its texts, and so are all languages together
+    whole = stats.where(F.col("stratum").startswith("s\x1f")).withColumn("stratum", F.concat_ws("\x1f", F.lit("l"), "lang")).join(strata.select("stratum").distinct(), "stratum", "left_semi")
+    levels = stats.unionByName(whole).unionByName(stats.where("stratum <> 'all'").withColumn("stratum", F.lit("all")))
     fitted = estimates(levels)
     away = [F.col(n) - F.col("centre")[i] for i, n in enumerate(NAMES)]
     square = sum((away[i] * F.col("inverse")[i * 4 + j] * away[j] for i in range(4) for j in range(4)), F.lit(0.0))

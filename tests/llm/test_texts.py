@@ -131,6 +131,19 @@ def test_repetition_of_rows(spark):
     assert repetition.repetition(df.limit(0), "id", "text", F.col("lang"), F.col("source")).count() == 0
 
 
+def test_small_sources_are_judged_by_their_language(spark):
+    """A repeating text of a rare source stands out among all texts of its language."""
+    rng = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    make = lambda: " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(20, 120)))
+    rows = [(f"{lang}{i}", make(), lang, "big") for lang in ("en", "da") for i in range(300)]
+    rows += [("spam", "buy this very cheap thing now " * 30, "en", "rare"), ("fine", make(), "en", "rare"), ("alone", "buy this very cheap thing now " * 30, "da", "rare")]
+    df = spark.createDataFrame(rows, "id string, text string, lang string, source string")
+    got = {r.id: r for r in repetition.repetition(df, "id", "text", F.col("lang"), F.col("source")).collect()}
+    assert len(got) == 603 and not got["fine"].rejected
+    assert {r.id for r in got.values() if r.rejected and r.share * 3 >= 1} == {"spam", "alone"}
+
+
 def test_residue(spark):
     names, topics = ["Ann", "Bob", "Cid", "Dot", "Eve", "Flo"], ["tea", "jam", "rye", "figs"]
     asks = ["Tell {n} about the {t} today.", "Could you write {k} lines for {n}?", "Then weigh the {t} again in {n}.", "Before lunch we count the {t} slowly.", "Neither {n} nor anyone liked {t}.", "Remember that {t} goes bad fast."]

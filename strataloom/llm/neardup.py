@@ -288,7 +288,7 @@ def only_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return rows.where((F.getbit(byte, F.expr("cast(_place % 8 as int)")) == 1)).drop("bucket", "_place", "bitmap")
 
 
-def near_duplicates(texts: DataFrame, least_words: dict[str, int], similarity: float = 0.8, run: int = 5, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(texts: DataFrame, least_words: dict[str, int], similarity: float = 0.8, run: int = 5, shard: int = SHARD, every: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, links) of all texts with at least ``least_words[field]`` words.
 
     ``texts`` has ``field``, ``id`` and ``text``; other columns are ignored.
@@ -297,13 +297,17 @@ def near_duplicates(texts: DataFrame, least_words: dict[str, int], similarity: f
     similarity`` with ``a < b``: the pairs of classes that share at least
     ``similarity`` of their distinct runs of ``run`` words. Rows that share field
     and id count once; null ids, null texts and texts too short for a run take
-    no part; an empty table gives empty results.
+    no part; an empty table gives empty results. With ``every``, ``members`` also
+    has the records whose text is too short, and those of null texts with a null class.
 
     A pair at similarity 0.5 shares a band with probability 0.92, one at 0.6 with
     0.996 and one at 0.65 or more with over 0.999.
     """
     rows = texts.where("id is not null and text is not null").select("field", F.col("id").cast("string").alias("id"), "text")
-    drawn = durable(class_ids(rows, least_words, run))
+    drawn = class_ids(rows, dict.fromkeys(least_words, 0), 0) if every else class_ids(rows, least_words, run)
+    if every:
+        drawn = drawn.unionByName(texts.where("id is not null and text is null").select("field", F.col("id").cast("string").alias("id"), F.lit(None).cast("long").alias("cid")))
+    drawn = durable(drawn)
     # the sketches are large and read once, so they are not kept
     classes = sketches(rows, least_words, run).groupBy("field", "cid").agg(F.min(F.struct("id", "bits_hi", "bits_lo", "bits_ex", "bands", "tails")).alias("of"))
     pairs = durable(tree_pairs(classes.select("cid", "of.bits_hi", "of.bits_lo", "of.bits_ex", "of.bands", "of.tails"), similarity, shard))
@@ -335,7 +339,35 @@ def expand(members: DataFrame, links: DataFrame) -> DataFrame:
     return within.unionByName(between)
 
 
+def components(links: DataFrame) -> DataFrame:
+    """``cid, group``: every linked class with the least class of its connected component.
+
+    Large and small stars by turns (each node links its larger neighbours, then
+    its smaller ones, to the least of them) until no edge changes. A step is an
+    aggregate and a join by node, so nothing is collected.
+    """
+    print_of = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20)"))).first())
+    edges = durable(links.select(F.col("b").alias("u"), F.col("a").alias("v")).distinct())  # u > v
+    last = print_of(edges)
+    while True:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = durable(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        edges = durable(small.distinct())
+        now = print_of(edges)
+        if now == last:
+            return edges.select(F.col("u").alias("cid"), F.col("v").alias("group")).unionByName(edges.select(F.col("v").alias("cid"), F.col("v").alias("group")).distinct())
+        last = now
+
+
 def grouped(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``field, id, class_id, links``: every record with its class of equal texts and the number of classes linked to it."""
+    """``field, id, class_id, links, group_id``: every record with its class of equal
+    texts, the number of classes linked to it and the group that the links join.
+
+    A class without links is a group of its own; a null class has a null group.
+    """
     degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("links"))
-    return members.join(degree, "cid", "left").select("field", "id", F.hex("cid").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    linked = degree.join(components(links), "cid", "left")
+    return members.join(linked, "cid", "left").select("field", "id", F.hex("cid").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.hex(F.coalesce("group", "cid")).alias("group_id"))

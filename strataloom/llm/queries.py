@@ -137,9 +137,9 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_groups(spark: SparkSession, folder: str) -> DataFrame:
-    """Every record with its class of equal texts and its links at five words and similarity 0.8."""
-    texts, _ = near_texts(spark, folder)
-    return neardup.grouped(*neardup.near_duplicates(texts, {"instruction": 1, "messages": 1}, similarity=0.8, run=5))
+    """Every record with its class of equal texts, its links at five words and similarity 0.8, and their group."""
+    texts, fields = near_texts(spark, folder)
+    return neardup.grouped(*neardup.near_duplicates(texts, dict.fromkeys(fields, 1), similarity=0.8, run=5, every=True))
 
 
 def filled(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:

@@ -83,6 +83,36 @@ def test_near_duplicates_against_all_pairs(spark, shard):
     assert empty[0].count() == 0 and empty[1].count() == 0
 
 
+def test_groups_are_the_components_of_the_links(spark):
+    rng = random.Random(5)
+    pairs = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(35)} | {(100 + i, 101 + i) for i in range(12)} | {(-5, k) for k in range(200, 206)}
+    parent = {}
+    root = lambda x: x if parent.setdefault(x, x) == x else root(parent[x])
+    for a, b in pairs:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    links = spark.createDataFrame([("f", a, b, 1.0) for a, b in pairs], "field string, a long, b long, similarity double")
+    assert found(neardup.components(links), "cid", "group") == {(x, root(x)) for x in parent}
+    assert neardup.components(links.limit(0)).count() == 0
+
+
+def test_every_record_has_its_group(spark):
+    """Edited copies share a group, and short and null texts have rows."""
+    rows = [("f", i, t) for i, t in corpus()] + [("f", "short2", "W1, w2 w3!"), ("g", "short", "w1 w2 w3"), ("f", None, "w1 w2 w3")]
+    df = spark.createDataFrame(rows, "field string, id string, text string")
+    members, links = neardup.near_duplicates(df, {"f": 1, "g": 1}, similarity=0.5, run=3, every=True)
+    out = neardup.grouped(members, links).collect()
+    got = {(r.field, r.id): r for r in out}
+    assert len(out) == len(got) and set(got) == {r[:2] for r in rows if r[1]}
+    assert got["f", "short"].class_id == got["f", "short2"].class_id != got["g", "short"].class_id
+    assert got["f", "null"].class_id is None and got["f", "null"].group_id is None and got["f", "short"].links == 0
+    pairs = [(r.a, r.b) for r in links.collect()]
+    assert pairs
+    group = {r.class_id: r.group_id for r in out}
+    name = lambda cid: f"{cid & (1 << 64) - 1:X}"
+    assert all(group[name(a)] == group[name(b)] for a, b in pairs)
+
+
 def test_a_hot_group_of_different_texts(spark):
     """A third of the rows nearly the same text: no link is lost when the bucket is cut into blocks."""
     rng = random.Random(2)

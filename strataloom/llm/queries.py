@@ -97,6 +97,11 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.template_residue(table(spark, folder, "instruction_rows").select("id", "instruction")).select("id")
 
 
+def p4_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """The same requests with what they are: slots, blank, page, filler or notice."""
+    return residue.template_residue(table(spark, folder, "instruction_rows").select("id", "instruction"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Questions whose answer is defective, outside the conversations of p2_found."""
     rows = table(spark, folder, "audit_rows").select("id", "messages")
@@ -197,7 +202,7 @@ def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_labels, p2_found, p2_shares, p3_found, p3_totals, p4_found, p5_found, p6_found, p6_report, p6_sample, p7_found, p7_groups,
+        p1_found, p1_labels, p2_found, p2_shares, p3_found, p3_totals, p4_found, p4_kinds, p5_found, p6_found, p6_report, p6_sample, p7_found, p7_groups,
         p8_containers, p8_found, p8_report, p9_found, p9_mix, p9_report, p10_found, p10_restored,
     )
 }

@@ -1,14 +1,24 @@
 """Problem 4: template residue, filler, error pages and notices among requests.
 
-Method: records of the same template are aligned and their slots induced. A
-sentence is aligned by its opening, the first two words with names and numbers
-made slots; a page by its whole masked text. Slots that retain a variable name,
-a default or a blank are flagged where the same opening occurs with filled
-slots, or where a text has several of them. A page is a text none of whose
-openings ever stands beside at least ``COMPANIONS`` different other openings: the
-sentences of requests are combined freely, those of an error page or a notice
-only recur together. A page is flagged where its masked text recurs, or where
-it has the vocabulary of filler, errors or notices.
+Method: records of the same template are aligned and their slots induced. Where
+a text holds a marker (a variable name, a default or a blank in brackets), the
+two words before it are its place in the template; the place is a slot where at
+least ``REPEATS`` different fillers follow the same two words in records without
+markers. A text is flagged where it retains a marker in such a slot.
+
+A page is a text whose openings, the first two words of its sentences, keep no
+free company: the sentences of requests are combined freely, so an opening of
+theirs has many companions of about equal weight (the inverse of Simpson's
+index of its neighbours), while those of an error page or a notice only recur
+together. Pages that share their opening are aligned: the words that recur in
+them are the template. It is one where it has a closed vocabulary, small beside
+the words of a record and covering most of them. The words that mainly such
+templates use then tell filler whose order is random. Names and numbers count as
+slots everywhere.
+
+A page of which there are too few copies for a template is left to the
+vocabularies of filler, errors and notices below: they see nothing but the texts
+without free company that no template explains.
 """
 
 from __future__ import annotations
@@ -16,24 +26,30 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataloom.llm.neardup import FILTER, only_keys
 from strataloom.llm.text import WORD, in_parts
 from strataloom.session import durable
 
-#: Different neighbours that make an opening one of free requests.
-COMPANIONS = 5
-#: Records that share a masked page for it to be a template.
+#: Companions of equal weight that make an opening one of free requests.
+COMPANIONS = 3
+#: Records that share a template, or fillers of a slot, for it to be one.
 REPEATS = 3
+#: Recurring words of a template to one word of a record, at most.
+CLOSED = 5
+#: Share of the pages with a word that must be of a template for the word to be of filler.
+LEARNED = 0.25
 
 #: How an unfilled slot is written.
 SLOT = re.compile(
-    r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|#\{[^{}\n]{1,60}\}|<%[^%\n]{1,60}%>|%\(\w{1,40}\)[sd]|(?<![\w%])%[sd]\b"
-    r"|(?<![\w{])\{[^\W\d][^{}\n\"':;=]{0,40}\}|\[[^\W\d][^\]\[\n]{1,60}\](?!\()|(?<![^\W_])__+[^\W_][^\n]{0,40}?__+(?!\w)|(?<!\w)_{3,}(?!\w)"
-    r"|<[^\W\d][\w -]{0,40}>|@@[^\W_]\w{0,40}@@|(?<!\d)%[A-Z_]{3,40}%|\[\s*\](?!\()|\{\{\s*\}\}"
+    r"\{\{[^{}\n]*\}\}|\$\{[^{}\n]+\}|#\{[^{}\n]+\}|<%[^%\n]+%>|%\(\w+\)[sd]|(?<![\w%])%[sd]\b"
+    r"|(?<![\w{])\{[^\W\d][^{}\n\"':;=]*\}|\[[^\W\d][^\]\[\n]+\](?!\()|(?<![^\W_])__+[^\W_][^\n]*?__+(?!\w)|(?<!\w)_{3,}(?!\w)"
+    r"|<[^\W\d][\w -]*>|@@[^\W_]\w*@@|(?<!\d)%[A-Z_]{3,}%|\[\s*\](?!\()"
 )
 #: Tags of markup, which are no slots.
 MARKUP = {"p", "br", "b", "i", "a", "u", "ul", "ol", "li", "div", "span", "code", "pre", "em", "strong", "noscript", "script", "style", "html", "head", "body", "table", "tr", "td", "th", "h1", "h2", "h3", "title"}
@@ -57,67 +73,85 @@ _PAGE_HINTS = (
     "script", "cookie", "browser", "err", "fejl", "exception", "traceback", "forbidden", "denied", "nægtet", "permission", "unauthori", "found", "matches", "findes", "fundet", "available", "utilgængelig", "time", "gateway", "mainten", "vedligehold",
     "requests", "quota", "session", "captcha", "robot", "sign in", "log", "load", "indlæs", "secure", "status", "trace", "fault", "pointer", "undefined", "access", "adgang", "subscri", "abonn", "40", "41", "42", "50",
 )
-_QUOTED = re.compile(r"`[^`\n]*`|“[^”\n]*”|«[^»\n]*»|„[^“”\n]*[“”]|(?<!\w)\"[^\"\n]{0,80}\"(?!\w)|(?<!\w)'[^'\n]{0,80}'(?!\w)|‘[^’\n]*’")
+_QUOTED = re.compile(r"`[^`\n]*`|“[^”\n]*”|«[^»\n]*»|„[^“”\n]*[“”]|(?<!\w)\"[^\"\n]*\"(?!\w)|(?<!\w)'[^'\n]*'(?!\w)|‘[^’\n]*’")
 _CODE = re.compile(r"```.*?(?:```|\Z)", re.S)
 _END = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\s*\n\s*")
+_MARKS, _QUOTES = re.compile(r"[{\[<%_@]"), re.compile(r"[`“«„\"'‘]")
 
-FEATURES = "id string, page long, openings array<long>, slot_openings array<long>, slots int, filler boolean, notice boolean"
+FEATURES = "id string, blank boolean, openings array<long>, contexts array<long>"
 
 
 def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-def _opening(tokens: list[str]) -> int:
-    return _hash(" ".join(tokens[:2]))
+def plain(text: str) -> str:
+    """A text with marks in place of code and quotations."""
+    if "```" in text:
+        text = _CODE.sub(" ", text)
+    return _QUOTED.sub(" # ", text) if _QUOTES.search(text) else text
 
 
-def slots_of(text: str) -> list[str]:
+def slots_of(text: str) -> list[re.Match]:
     """The unfilled slots of a text that is free of quotations and code."""
-    return [m for m in SLOT.findall(text) if m[0] != "<" or m.strip("<>/ ").split(" ")[0].lower() not in MARKUP]
+    if not _MARKS.search(text):
+        return []
+    return [m for m in SLOT.finditer(text) if m[0][0] != "<" or m[0].strip("<>/ ").split(" ")[0].lower() not in MARKUP]
+
+
+def masks(words: list[str]) -> list[str]:
+    """Words in lower case; names, numbers and codes become slots (``#``)."""
+    return ["#" if (at and word[0].isupper()) or not word.isalpha() else word.lower() for at, word in enumerate(words)]
 
 
 def masked(text: str) -> list[str]:
-    """The words of a text; names, numbers and codes become slots (``#``)."""
+    """The words of a text with its slots."""
+    return masks(WORD.findall(text))
+
+
+def openings_of(text: str) -> list[int]:
+    """The hashes of the first two words of every sentence, in order; none where both are slots."""
     out = []
-    for word in WORD.findall(text):
-        out.append("#" if (out and word[0].isupper()) or not word.isalpha() else word.lower())
+    for sentence in _END.split(text):
+        words = [m[0] for m in (WORD.search(sentence or ""),) if m]
+        if words:
+            second = WORD.search(sentence, sentence.index(words[0]) + len(words[0]))
+            tokens = masked(words[0]) + (masked(f"a {second[0]}")[1:] if second else [])
+            if any(token != "#" for token in tokens):
+                out.append(_hash(" ".join(tokens)))
     return out
 
 
-def features_of(text: str | None) -> tuple:
-    """(page, openings, openings of sentences with slots, slots, filler, notice) of a text.
+_WORD_HASH: dict[str, int] = {}
 
-    A text is filler where more than half of its words but names and numbers are.
 
-    Null and blank texts are filler: there is nothing but a blank.
-    """
-    if not text or text.isspace():
-        return 0, [], [], 0, True, False
-    plain = _CODE.sub(" ", text) if "```" in text else text
-    plain = _QUOTED.sub(" # ", plain)
-    holed, slots, whole = {}, 0, text
-    if any(mark in plain for mark in "{[<%_@"):
-        for sentence in _END.split(plain):
-            found = slots_of(sentence or "")
-            for slot in found:
-                sentence = sentence.replace(slot, " Slot0 ")
-                whole = whole.replace(slot, " Slot0 ")
-            if found:
-                slots += len(found)
-                holed[_opening(masked(sentence))] = None
-    openings, page = {}, []
-    for sentence in _END.split(whole):
-        tokens = masked(sentence or "")
-        page += tokens
-        if any(token != "#" for token in tokens[:2]):
-            openings[_opening(tokens)] = None
-    low = text.lower()
-    filler = any(hint in low for hint in _FILLER_HINTS) and bool(FILLER.search(text))
-    plain_words = [token for token in page if token != "#"]
-    filler = filler or not WORD.search(text) or bool(plain_words) and 2 * sum(token in FILLER_WORDS for token in plain_words) > len(plain_words)
-    notice = any(hint in low for hint in _PAGE_HINTS) and bool(PAGE.search(text))
-    return _hash(" ".join(page)), list(openings), list(holed), slots, filler, notice
+def _hashes(tokens: list[str]) -> np.ndarray:
+    known = _WORD_HASH
+    if len(known) > 500_000:  # bounds the memory, never changes a hash
+        known.clear()
+    for token in set(tokens).difference(known):
+        known[token] = xxhash.xxh64_intdigest(token)
+    return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+
+
+def _pairs(h: np.ndarray) -> np.ndarray:
+    """A hash of every two neighbours."""
+    mixed = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] + np.uint64(0x7F4A7C15))
+    return (mixed * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+
+
+def contexts_of(text: str) -> list[int]:
+    """The places of the unfilled slots of a plain text: hashes of the two words before each."""
+    found, out = slots_of(text), []
+    if found:
+        tokens, at = ["^", "^"], 0
+        for m in found:
+            tokens += WORD.findall(text[at : m.start()])
+            at = m.end()
+            both = [t if t in "^{" else "#" if (i and t[0].isupper()) or not t.isalpha() else t.lower() for i, t in enumerate(tokens[-2:], len(tokens) - 4)]
+            out.append(int(_pairs(_hashes(both))[0]))
+            tokens += ["{", "{"]  # what follows a marker has no known place until two words are between
+    return out
 
 
 def features(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -125,38 +159,126 @@ def features(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_parts(batches):
-            rows = [(k, *features_of(t)) for k, t in zip(batch["id"], batch["text"])]
-            yield pd.DataFrame(rows, columns=["id", "page", "openings", "slot_openings", "slots", "filler", "notice"])
+            rows = []
+            for id_, said in zip(batch["id"], batch["text"]):
+                if not said or not WORD.search(said):
+                    rows.append((id_, True, [], []))
+                else:
+                    rows.append((id_, False, openings_of(said), contexts_of(plain(said))))
+            yield pd.DataFrame(rows, columns=["id", "blank", "openings", "contexts"])
 
     return df.select(F.col(f"`{key}`").cast("string").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).mapInPandas(run, FEATURES)
 
 
+def filled_places(df: DataFrame, text: str, contexts: DataFrame) -> DataFrame:
+    """``context, fillers``: how many different two words follow each place in texts without markers.
+
+    A bitmap of ``FILTER`` hashed places, of a fixed size whatever the rows, tells
+    which places of a text are worth a row.
+    """
+    spot = F.pmod("context", F.lit(FILTER)) + 1  # buckets and positions count from 1
+    bits = contexts.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bitmap")).collect()
+    wanted = np.zeros(FILTER, bool)
+    for row in bits:  # at most FILTER / 32768 rows of 4 KB
+        at = (row["bucket"] - 1) * 32768
+        wanted[at : at + 32768] = np.unpackbits(np.frombuffer(bytes(row["bitmap"]), np.uint8), bitorder="little")
+    shared = df.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = np.unpackbits(shared.value).astype(bool)
+        for batch in in_parts(batches):
+            places: list[str] = []
+            words: list[str] = []
+            for said in batch["text"]:
+                if said:
+                    said = plain(said)
+                    if not slots_of(said):
+                        found = WORD.findall(said)
+                        places += ["^", "^", *masks(found), "$", "$"]
+                        words += ["^", "^", *found, "$", "$"]
+            if places:
+                place, filler = _pairs(_hashes(places)), _pairs(_hashes(words))
+                at = np.flatnonzero(wanted[place[:-2] % FILTER])
+                yield pd.DataFrame({"context": place[at], "filler": filler[at + 2]}).drop_duplicates()
+
+    rows = df.select(F.col(f"`{text}`").cast("string").alias("text")).mapInPandas(run, "context long, filler long")
+    return rows.distinct().groupBy("context").agg(F.count("*").alias("fillers"))
+
+
+def page_words(text: str | None) -> tuple[int | None, list[int]]:
+    """The first opening of a text and the hashes of its different words but names and numbers."""
+    first = next(iter(openings_of(text or "")), None)
+    return first, [_hash(w) for w in dict.fromkeys(masked(text or "")) if w != "#"]
+
+
+def named_kind(text: str) -> str | None:
+    """``filler`` or ``notice`` where the vocabulary of a text says so: a text is
+    filler where more than half of its words but names and numbers are."""
+    low, words = text.lower(), [w for w in masked(text) if w != "#"]
+    if any(hint in low for hint in _FILLER_HINTS) and FILLER.search(text) or 2 * sum(w in FILLER_WORDS for w in words) > len(words):
+        return "filler"
+    return "notice" if any(hint in low for hint in _PAGE_HINTS) and PAGE.search(text) else None
+
+
+def isolated(rows: DataFrame) -> DataFrame:
+    """``id`` of the texts of which less than half of the known openings keep free company."""
+    spoken = rows.where(F.size("openings") > 0)
+    known = spoken.select(F.explode("openings").alias("opening")).groupBy("opening").agg(F.count("*").alias("records")).where(F.col("records") >= REPEATS)
+    sides = spoken.where(F.size("openings") > 1).select(
+        F.explode(F.arrays_zip(F.expr("slice(openings, 1, size(openings) - 1)").alias("a"), F.expr("slice(openings, 2, size(openings) - 1)").alias("b"))).alias("p")
+    )
+    sides = sides.where("p.a <> p.b").select(F.explode(F.array(F.struct(F.col("p.a").alias("opening"), F.col("p.b").alias("beside")), F.struct(F.col("p.b").alias("opening"), F.col("p.a").alias("beside")))).alias("s")).select("s.*")
+    company = sides.groupBy("opening", "beside").agg(F.count("*").cast("double").alias("n")).groupBy("opening").agg((F.sum("n") * F.sum("n") / F.sum(F.col("n") * F.col("n"))).alias("companions"))
+    free = known.join(company, "opening", "left").select("opening", (F.coalesce("companions", F.lit(0.0)) >= COMPANIONS).alias("free"))
+    # a row number in place of the id keeps the shuffle small
+    said = spoken.select("row", F.explode(F.array_distinct("openings")).alias("opening")).join(free, "opening")
+    requests = said.groupBy("row").agg(F.count("*").alias("known"), F.count_if("free").alias("free")).where("2 * free >= known").select("row")
+    return rows.where("not blank").select("id", "row").join(requests, "row", "left_anti").select("id").distinct()
+
+
+def template_pages(pages: DataFrame) -> DataFrame:
+    """``id, kind`` of the pages (``id, opening, words, named``) that are of a template (``page``), made of
+    the words of templates (``filler``), or neither and ``named`` by their vocabulary."""
+    counts = pages.select("opening", F.explode("words").alias("word")).groupBy("opening", "word").agg(F.count("*").alias("n"))
+    counts = counts.where("opening is not null")
+    sizes = counts.groupBy("opening").agg(F.count_if(F.col("n") >= REPEATS).alias("recurring"), F.sum(F.when(F.col("n") >= REPEATS, F.col("n")).otherwise(0)).alias("covered"), F.sum("n").alias("total"))
+    records = pages.groupBy("opening").agg(F.count("*").alias("records"))
+    closed = sizes.join(records, "opening").where((F.col("records") >= REPEATS) & (F.col("recurring") * F.col("records") <= CLOSED * F.col("total")) & (2 * F.col("covered") >= F.col("total"))).select("opening")
+    # bounded: a closed vocabulary is at most CLOSED records' worth of words
+    templates = counts.where(F.col("n") >= REPEATS).join(closed, "opening", "left_semi").groupBy("opening").agg(F.collect_list("word").alias("template"))
+    found = pages.join(templates, "opening", "left").select("id", "words", "named", F.coalesce(2 * F.size(F.array_intersect("words", "template")) >= F.size("words"), F.lit(False)).alias("flagged"))
+    found = durable(found)
+    learned = found.select("flagged", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.count_if("flagged").alias("k"))
+    learned = learned.where((F.col("k") >= REPEATS) & (F.col("k") >= LEARNED * F.col("n"))).select("word", F.lit(1).alias("known"))
+    rest = found.where("not flagged").select("id", F.explode("words").alias("word")).join(learned, "word", "left").groupBy("id").agg(F.count("*").alias("n"), F.count("known").alias("known")).where("2 * known > n")
+    named = found.where("not flagged and named is not null").select("id", F.col("named").alias("kind"))
+    return found.where("flagged").select("id", F.lit("page").alias("kind")).unionByName(rest.select("id", F.lit("filler").alias("kind"))).unionByName(named)
+
+
 def template_residue(df: DataFrame, key: str = "id", text: str = "instruction") -> DataFrame:
     """Each record that is template residue, filler, an error page or a notice.
 
-    Columns: ``id``, ``kind`` (``slots``, ``filler``, ``notice`` or ``page``, the
-    first that holds). Rows that share a key count once. A null or blank text is
-    ``filler``. Rows with a null key are left out; an empty table gives no rows.
+    Columns: ``id``, ``kind`` (``slots``, ``blank``, ``page``, ``filler`` or
+    ``notice``, the first that holds). Rows that share a key count once. A null text and one
+    without letters and digits is ``blank``. What occurs in fewer than
+    ``REPEATS`` records is no template. Rows with a null key are left out; an empty table
+    gives no rows; other columns are ignored.
     """
-    rows = durable(features(df.where(F.col(f"`{key}`").isNotNull()), key, text))
-    pairs = rows.where(F.size("openings") > 1).select(F.explode("openings").alias("opening"), "openings")
-    free = (
-        pairs.select("opening", F.explode("openings").alias("beside")).where("opening <> beside").distinct()
-        .groupBy("opening").count().where(F.col("count") >= COMPANIONS).select("opening")
-    )
-    # every row of an id stands in one partition, so nearly all of this is summed before the shuffle
-    free_rows = (
-        rows.select("id", F.explode("openings").alias("opening")).join(free, "opening", "left_semi").select("id").distinct()
-    )
-    pages = rows.select("id", "page", "filler", "notice", "slots").dropDuplicates(["id"]).join(free_rows, "id", "left_anti")
-    repeated = pages.groupBy("page").agg(F.count("*").alias("records"))
-    pages = pages.join(repeated, "page", "left")
-    kinds = pages.select("id", F.when(F.col("filler"), "filler").when(F.col("notice"), "notice").when(F.col("records") >= REPEATS, "page").alias("kind")).where("kind is not null")
-    # a slot is induced where other records of the same opening fill it
-    holed = rows.where("slots > 0").select("id", "slots", F.explode("slot_openings").alias("opening"))
-    filled = (
-        rows.where("slots = 0").select(F.explode("openings").alias("opening")).join(holed.select("opening").distinct(), "opening", "left_semi").groupBy("opening").count()
-    )
-    slotted = holed.join(filled, "opening", "left").groupBy("id").agg(F.max("slots").alias("slots"), F.max("count").alias("filled"))
-    slotted = slotted.where((F.col("slots") > 1) | (F.col("filled") >= REPEATS)).select("id", F.lit("slots").alias("kind"))
-    return slotted.unionByName(kinds).groupBy("id").agg(F.min(F.struct(F.when(F.col("kind") == "slots", 0).otherwise(1).alias("rank"), "kind")).alias("best")).select("id", F.col("best.kind").alias("kind"))
+    texts = df.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("string").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = durable(features(texts, "id", "text").withColumn("row", F.monotonically_increasing_id()))
+
+    @F.pandas_udf("opening long, words array<long>, named string")
+    def measure(said: pd.Series) -> pd.DataFrame:
+        found = [page_words(t) for t in said]
+        return pd.DataFrame({"opening": pd.array([f[0] for f in found], "Int64"), "words": [f[1] for f in found], "named": pd.Series([named_kind(t) for t in said], dtype=object)})
+
+    alone = durable(isolated(rows))
+    pages = only_keys(texts, alone, ["id"]).join(alone, "id").dropDuplicates(["id"]).withColumn("p", measure("text")).select("id", "p.opening", "p.words", "p.named")
+    kinds = template_pages(durable(pages))
+    holes = rows.where(F.size("contexts") > 0).select("id", F.explode("contexts").alias("context"))
+    places = filled_places(texts, "text", holes.select("context").distinct())
+    slotted = holes.join(places.where(F.col("fillers") >= REPEATS), "context").select("id", F.lit("slots").alias("kind"))
+    blank = rows.where("blank").select("id", F.lit("blank").alias("kind"))
+    every = slotted.unionByName(blank).unionByName(kinds)
+    rank = F.array_position(F.array(*map(F.lit, ("slots", "blank", "page", "filler", "notice"))), F.col("kind"))
+    return every.groupBy("id").agg(F.min(F.struct(rank.alias("rank"), "kind")).alias("best")).select("id", F.col("best.kind").alias("kind"))

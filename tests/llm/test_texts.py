@@ -172,6 +172,32 @@ def test_residue(spark):
     assert residue.template_residue(df.limit(0)).count() == 0
 
 
+def test_templates_need_no_vocabulary(spark, monkeypatch):
+    """Pages are found by recurrence, filler in random order by the words of templates, slots by what fills them elsewhere."""
+    monkeypatch.setattr(residue, "named_kind", lambda text: None)
+    rng = random.Random(4)
+    asks = [f"{start} the {{t}} {end}." for start, end in zip("Tell,Weigh,Count,Compare,Describe,Sort".split(","), "today,slowly,for lunch,at home,in writing,again".split(","))]
+    things = ["tea", "jam", "rye", "figs", "oats"]
+    rows = [(f"r{i}", " ".join(a.format(t=rng.choice(things)) for a in rng.sample(asks, 3))) for i in range(300)]
+    nonsense = "blorp snee quix marl dend fosk hurn teck".split()
+    pages = {f"p{i}": f"Zorking the plonk {i} is shut. Ask Hub{i} now." for i in range(4)} | {f"f{i}": "Blorp snee " + " ".join(rng.choice(nonsense) for _ in range(30)) for i in range(6)}
+    late = {f"g{i}": " ".join(rng.sample(nonsense, 8)) for i in range(3)}
+    once = {"once": "A page that nobody ever saw before"}
+    slots = {"s": "Weigh the {{ " + "long_name_" * 12 + " }} slowly. Tell the tea today.", "blank": "Sort the [ ] again. Count the jam for lunch."}
+    kept = {"code": "Tell the tea today. ```x = {y}``` Weigh the rye slowly.", "other": "Qwop {{zap}} blit. Tell the tea today."}
+    df = spark.createDataFrame([*rows, *(x for d in (pages, late, once, slots, kept) for x in d.items())], "id string, instruction string")
+    got = {r.id: r.kind for r in residue.template_residue(df).collect()}
+    assert got == dict.fromkeys(pages, "page") | dict.fromkeys(late, "filler") | dict.fromkeys(slots, "slots")
+
+
+def test_openings_grow_in_proportion(spark):
+    """A text of 3,000 sentences adds two rows a sentence, not all pairs of its openings."""
+    text_ = " ".join(f"Alpha{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} runs here." for i in range(3000))
+    df = spark.createDataFrame([("a", text_)], "id string, instruction string")
+    row = residue.features(df, "id", "instruction").first()
+    assert len(row.openings) == 3000 and residue.template_residue(df).count() == 0
+
+
 def test_stems_and_hints_cover_the_patterns():
     for names in answers.ASKED.values():
         for name in names.replace(r"\w*", "").split("|"):

@@ -1,18 +1,22 @@
 """Problem 5: questions whose answer is empty, truncated, a refusal, a copy or in another language.
 
-Method: the sentences of short answers, with names and numbers made slots, are
-clustered by verified MinHash around seeds, the sentences in which the first
-person declines. A template of such a cluster that recurs across unrelated
-prompts reveals a refusal, as does a seed itself; an answer is one where all its
-sentences are refusals or mere courtesy. Copy, language and termination checks
-label the other defects.
+Method: the openings of the sentences of all answers, with names and numbers made
+slots, are clustered by MinHash: each band is a star around its commonest
+opening, and a member is one whose words are verified to be like that centre. An
+answer is bare where none of its sentences has a slot, so that it says nothing
+particular. A cluster refuses where it recurs across unrelated prompts and nearly
+all answers that use it are bare; an answer is a refusal where it is bare and
+every sentence is of a cluster that refuses. No list of phrases takes part. Copy, language and termination checks label
+the other defects.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -21,39 +25,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataloom.llm.language import coder_of, label_texts, unquoted
+from strataloom.llm.neardup import only_keys, run_hashes
 from strataloom.llm.text import WORD, in_parts, words
 from strataloom.session import durable
 
-#: Prompts across which a template must recur to be taken into a cluster.
+#: Unrelated prompts across which a cluster must recur to be one that refuses.
 PROMPTS = 3
-#: Similarity, on pairs of words, that a sentence must have with a seed.
-ALIKE = 0.5
-#: Words and sentences beyond which an answer offers something else.
-SHORT_WORDS, SHORT_SENTENCES = 80, 5
+#: Words of a sentence's opening.
+OPENING = 8
+#: Share of common words that an opening must have with the centre of its cluster.
+ALIKE = 0.4
+#: Share of bare answers among those that use a cluster.
+BARE = 0.8
 #: Bits by which an answer must be shorter in its own language than in the question's.
-LANGUAGE_BITS = 20.0
+LANGUAGE_BITS = 40.0
 #: Words that an answer needs to have a language.
 LANGUAGE_WORDS = 4
 #: Bits within which two languages count as tied, beyond any rounding of sums.
 TIED_BITS = 1e-6
 
-#: How the first person declines, by language.
-DECLINES = re.compile(
-    r"(?i)\b(?:i (?:can(?:no|')t|cannot|won't|will not|don't feel comfortable|don't give|do not give|am not able|am unable|am not allowed|am not going|must decline|have to decline|have to pass|have to stay away|"
-    r"have to refuse|refuse to|must refuse)|i'm (?:not able|unable|not allowed|not going|sorry, but i|afraid (?:i|it|that))|isn't possible for me|is not possible for me|not something i can|something i (?:can't|won't|cannot)|"
-    r"as an? (?:language model|ai|assistant)\b.*\bnot|guidelines (?:prevent|do not|don't)|outside what i (?:may|can)|beyond what i (?:may|can)|"
-    r"(?:kan|vil|må|tør|ønsker) jeg (?:desværre )?ikke|jeg (?:kan|vil|må|ønsker) (?:desværre )?ikke|giver jeg (?:desværre )?ikke|har jeg (?:desværre )?ikke|jeg (?:giver|har) (?:desværre )?ikke|(?:må|bliver) jeg (?:desværre )?(?:afstå|afvise|holde mig|sige nej|nødt)|"
-    r"jeg må (?:desværre )?(?:afstå|afvise|holde mig|sige nej)|jeg er (?:desværre )?nødt til at (?:afvise|sige nej|afstå)|retningslinjer (?:forhindrer|tillader)|uden for det,? jeg|sprogmodel|"
-    r"kan jeg (?:dessverre )?ikke|jeg kan (?:dessverre )?ikke|ber jeg om å slippe|må jeg (?:dessverre )?(?:avslå|la være)|retningslinjene|språkmodell|"
-    r"(?:kan|vill|får|tänker) jag (?:tyvärr )?inte|jag (?:kan|vill|får|tänker) (?:tyvärr )?inte|måste jag (?:tyvärr )?(?:avböja|avstå)|jag måste (?:tyvärr )?(?:avböja|avstå)|riktlinjer hindrar|"
-    r"ich (?:kann|darf|möchte|werde) (?:\w+ ){0,4}nicht|(?:kann|darf|möchte|werde) ich (?:\w+ ){0,4}nicht|muss ich (?:leider )?ablehnen|ich muss (?:leider )?ablehnen|richtlinien (?:hindern|verbieten|erlauben)|sprachmodell|"
-    r"no puedo (?:ayudar|responder|hablar|escribir|dar|contestar)|no me es posible|debo (?:negarme|declinar|rechazar)|modelo de lenguaje|mis (?:normas|pautas|directrices))"
-)
-#: Courtesy that offers nothing.
-COURTESY = re.compile(
-    r"(?i)^\W*(?:thank(?:s| you)\b.*|sorry\b[^;:]{0,80}|i(?:'m| am) sorry\b.*|unfortunately|please (?:consult|contact|ask|turn to|see)\b.*|you(?:'ll| will) have to .*|tak for\b.*|(?:jeg )?beklager\b.*|undskyld\b.*|desværre|henvend dig\b.*|spørg venligst\b.*|"
-    r"takk for\b.*|ta kontakt\b.*|tack för\b.*|ursäkta\b.*|tyvärr|vänd dig\b.*|danke\b.*|vielen dank\b.*|leider|tut mir leid\b.*|bitte wenden\b.*|gracias\b.*|lo siento\b.*|consulte\b.*|hello|hi|hej|hallo|hola)\W*$"
-)
 #: Names of the languages in each of them.
 ASKED = {
     "en": r"english|engelsk\w*|englisch\w*|engelska|inglés|inglesa",
@@ -63,42 +53,43 @@ ASKED = {
     "nb": r"norwegian|norsk\w*|norwegisch\w*|norska|noruego|noruega|bokmål",
     "es": r"spanish|spansk\w*|spanisch\w*|spanska|español\w*|castellano",
 }
-_ASKED = {code: re.compile(rf"(?i)\b(?:{names})\b") for code, names in ASKED.items()}
 #: One of these stands in every name of a language.
 _STEMS = ("engl", "engel", "ingl", "dans", "danis", "dän", "danés", "danes", "tysk", "germ", "deut", "alem", "svens", "schwed", "swed", "suec", "norsk", "norw", "norue", "bokm", "span", "spansk", "españ", "castell")
-#: One of these stands in every phrase that declines.
-_HINTS = (
-    "not", "'t", "unable", "decline", "pass", "stay away", "refuse", "afraid", "sorry", "guidelines", "outside what", "beyond what", "ikke", "afstå", "afvise", "holde mig", "sige nej", "nødt", "retningslinje", "uden for det", "sprogmodel",
-    "slippe", "avslå", "la være", "språkmodell", "inte", "avböja", "avstå", "riktlinjer", "nicht", "ablehnen", "richtlinien", "sprachmodell", "no puedo", "no me es", "debo", "modelo de", "mis ",
-)
 _TAGS = re.compile(r"<[^<>]*>|&\w+;|\[\s*\]|\{\s*\}")
 _END = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\s*\n+\s*")
 _ITEM = re.compile(r"^\s*(?:[-*•–]|\d+[.)])\s+(.*)$")
 _CLOSED = ".!?…`”\"»’'|)]}>"
 
-PAIRS = "id string, exchange long, question string, answer string, asked array<string>"
 
 
-def exchanges_of(messages) -> list[tuple[int, str, str | None, list[str]]]:
-    """(exchange, question, answer, languages asked for) of every user turn.
+def exchange_rows(df: DataFrame, key: str, messages: str) -> DataFrame:
+    """``id, exchange, question, answer, asked`` of every user turn, by built-in functions.
 
     Null turns and roles are skipped; the answer is the assistant turn that
-    directly follows, or null.
+    directly follows, or null. ``asked`` has the languages that a user turn names.
     """
-    turns = [(m["role"], m["content"]) for m in (messages if messages is not None else ()) if m is not None and m["role"] is not None]
-    named = [content for role, content in turns if role == "user" and content and any(stem in low for low in (content.lower(),) for stem in _STEMS)]
-    asked = [code for code, pattern in _ASKED.items() if any(map(pattern.search, named))]
-    out = []
-    for i, (role, content) in enumerate(turns):
-        if role == "user":
-            follows = turns[i + 1] if i + 1 < len(turns) else None
-            out.append((len(out) + 1, content or "", follows[1] if follows and follows[0] == "assistant" else None, asked))
-    return out
+    said = F.transform(F.filter(messages, lambda m: m.isNotNull() & m["role"].isNotNull()), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+
+    def pairs(turns):
+        at = F.filter(F.sequence(F.lit(0), F.size(turns)), lambda i: F.coalesce(F.get(turns, i)["role"] == "user", F.lit(False)))
+        return F.transform(at, lambda i: F.struct(F.coalesce(F.get(turns, i)["content"], F.lit("")).alias("question"), F.when(F.get(turns, i + 1)["role"] == "assistant", F.get(turns, i + 1)["content"]).alias("answer")))
+
+    def once(value, body):
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
+    asks = F.array_join(F.transform(F.filter("turns", lambda m: m["role"] == "user"), lambda m: m["content"]), "\n")
+    named = F.filter(F.array(*(F.when(F.col("asks").rlike(rf"(?iuU)\b(?:{names})\b"), code) for code, names in ASKED.items())), lambda code: code.isNotNull())
+    rows = df.select(F.col(f"`{key}`").cast("string").alias("id"), said.alias("turns")).where("turns is not null").select("id", "turns", asks.alias("asks"))
+    asked = F.when(F.col("asks").rlike("(?iu)" + "|".join(_STEMS)), named).otherwise(F.array().cast("array<string>"))
+    rows = rows.select("id", asked.alias("asked"), F.posexplode(once(F.col("turns"), pairs)).alias("at", "pair"))
+    return rows.select("id", (F.col("at") + 1).cast("long").alias("exchange"), "pair.question", "pair.answer", "asked")
 
 
 def is_empty(answer: str | None) -> bool:
     """Whether an answer is missing or has nothing but blanks, marks, markup or invisible characters."""
-    return answer is None or not WORD.search(_TAGS.sub(" ", answer))
+    if answer is None:
+        return True
+    return not WORD.search(_TAGS.sub(" ", answer) if any(mark in answer for mark in "<&[{") else answer)
 
 
 def is_copy(asked: list[str], said: list[str]) -> bool:
@@ -107,8 +98,12 @@ def is_copy(asked: list[str], said: list[str]) -> bool:
     four words, and no more than half, lie in no such run."""
     if not asked or not said or 5 * len(said) < 2 * len(asked):
         return False
-    if len(set(said) - set(asked)) > 4:  # more words of its own than a copy has
-        return False
+    known, own = set(asked), set()
+    for word in said:
+        if word not in known:
+            own.add(word)
+            if len(own) > 4:  # more words of its own than a copy has
+                return False
     run = min(3, len(said), len(asked))
     known = {tuple(asked[i : i + run]) for i in range(len(asked) - run + 1)}
     covered = [False] * len(said)
@@ -166,35 +161,26 @@ def is_truncated(answer: str) -> bool:
     return True
 
 
-def sentence_keys(answer: str, n_words: int) -> list[tuple[str, bool, bool]]:
-    """(masked sentence, declines, courtesy) of every sentence of a short answer, else nothing."""
-    if n_words > SHORT_WORDS:
-        return []
-    said = [s for s in _END.split(answer) if s and WORD.search(s)]
-    if not said or len(said) > SHORT_SENTENCES:
-        return []
-    out = []
-    for sentence in said:
-        tokens = [w.lower() if w.isalpha() and (not k or w[0].islower() or w == "I") else "#" for k, w in enumerate(WORD.findall(sentence))]
-        plain = sentence.replace("’", "'").lower()
-        out.append((" ".join(tokens), any(hint in plain for hint in _HINTS) and bool(DECLINES.search(plain)), bool(COURTESY.match(sentence))))
-    return out
-
-
-def exchange_rows(df: DataFrame, key: str, messages: str) -> DataFrame:
-    """One row of ``PAIRS`` for every user turn."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in in_parts(batches):
-            rows = [(k, *x) for k, m in zip(batch["id"], batch["messages"]) for x in exchanges_of(m)]
-            yield pd.DataFrame(rows, columns=["id", "exchange", "question", "answer", "asked"])
+def openings_of(answer: str) -> tuple[list[str], bool]:
+    """The masked openings of the sentences of an answer, and whether it is bare.
 
-    return df.select(F.col(f"`{key}`").cast("string").alias("id"), F.col(f"`{messages}`").alias("messages")).mapInPandas(run, PAIRS)
+    An opening is the first ``OPENING`` words of a sentence in lower case; numbers,
+    and capital words after the first, are slots (``#``).
+    """
+    out, bare = [], True
+    for sentence in _END.split(answer):
+        tokens = []
+        found = WORD.finditer(sentence)
+        for m in islice(found, OPENING):
+            word = m[0]
+            tokens.append(word.lower() if word.isalpha() and (not tokens or word[0].islower() or word == "I") else "#")
+        if tokens:
+            out.append(" ".join(tokens))
+            bare = bare and "#" not in tokens and not any(not m[0].isalpha() or not (m[0][0].islower() or m[0] == "I") for m in found)
+    return out, bare
 
 
-BANDS, ROWS = 12, 2
-#: Seeds, and templates, of one band that one task compares; fuller bands are cut into blocks.
-BLOCK = 2000
+BANDS, ROWS = 16, 2
 
 
 @lru_cache(maxsize=1)
@@ -202,53 +188,50 @@ def _salts() -> np.ndarray:
     return np.random.default_rng(7).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 
 
-def _pairs_of_words(masked: str) -> set[str]:
-    tokens = masked.split()
-    return {" ".join(p) for p in zip(["^", *tokens], tokens)}
+_HASHES: dict[str, int] = {}
 
 
-def _bands(masked: str) -> list[int]:
-    h = np.array([xxhash.xxh64_intdigest(p) for p in _pairs_of_words(masked)], np.uint64)
-    mins = ((h[:, None] * _salts()[None, :]) >> np.uint64(16)).min(axis=0).reshape(BANDS, ROWS)
-    mixed = (mins[:, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ mins[:, 1] ^ (np.arange(BANDS, dtype=np.uint64) << np.uint64(58))
+def _bands(openings: list[str]) -> list[list[int]]:
+    """The band keys of each opening: hashes of its least word hashes."""
+    known = _HASHES
+    if len(known) > 500_000:  # bounds the memory, never changes a hash
+        known.clear()
+    sets = [list(dict.fromkeys(opening.split(" "))) for opening in openings]
+    for word in {w for s in sets for w in s}.difference(known):
+        known[word] = xxhash.xxh64_intdigest(word)
+    if not sets:
+        return []
+    h = np.array([known[w] for s in sets for w in s], np.uint64)
+    starts = np.cumsum([0, *map(len, sets[:-1])])
+    mins = np.minimum.reduceat((h[:, None] * _salts()[None, :]) >> np.uint64(16), starts, axis=0).reshape(len(sets), BANDS, ROWS)
+    mixed = (mins[:, :, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ mins[:, :, 1] ^ (np.arange(BANDS, dtype=np.uint64) << np.uint64(58))
     return mixed.view(np.int64).tolist()
 
 
-def refusal_sentences(rows: DataFrame) -> DataFrame:
-    """The masked sentences that refuse: seeds, and templates verified to be like
-    a seed that recur across ``PROMPTS`` different questions.
+def refusing(openings: DataFrame) -> DataFrame:
+    """``opening`` of all that are of a cluster that refuses.
 
-    ``rows`` has ``masked, declines, prompt``. A template is compared with every
-    seed that shares a band with it. The seeds and the templates of a band are
-    cut into blocks of about ``BLOCK``; each pair of blocks is compared by itself,
-    so no task grows with a band and no pair is lost.
+    ``openings`` has ``opening, n, bare, prompts``: how many answers use it, how many
+    of them are bare, and a bitmap of 63 places of their prompts, which counts no
+    prompt that isn't there. Every opening is compared with the centre of each of
+    its bands, so the work is in proportion to the openings, however many share a band.
     """
-    known = rows.groupBy("masked").agg(F.max("declines").alias("declines"), F.count_distinct("prompt").alias("prompts"))
 
     @F.pandas_udf("array<long>")
-    def bands(masked: pd.Series) -> pd.Series:
-        return masked.map(_bands)
-
-    known = durable(known.where("masked <> ''").withColumn("bands", bands("masked")))
-    banded = known.where(f"declines or prompts >= {PROMPTS}").select("masked", "declines", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count_if("declines").alias("seeds"), F.count_if(~F.col("declines")).alias("others")).where("seeds > 0 and others > 0")
-    shared = shared.select("band", F.expr(f"(seeds - 1) div {BLOCK} + 1").alias("seed_blocks"), F.expr(f"(others - 1) div {BLOCK} + 1").alias("other_blocks"))
-    banded = banded.join(shared, "band").withColumn("words", F.split("masked", " "))
-    # as _pairs_of_words
-    banded = banded.withColumn("pairs", F.expr("array_distinct(zip_with(slice(array_insert(words, 1, '^'), 1, size(words)), words, (a, b) -> concat(a, ' ', b)))"))
-
-    def blocks(side: str, own: str, other: str, mine: str, theirs: str) -> DataFrame:
-        """The rows of one side with the number of their block, once for each block of the other side."""
-        rows = banded.where(side).withColumn(mine, F.expr(f"pmod(xxhash64(masked), {own})"))
-        return rows.select("band", mine, F.explode(F.expr(f"sequence(0L, {other} - 1)")).alias(theirs), "masked", "pairs")
-
-    seeds = blocks("declines", "seed_blocks", "other_blocks", "i", "j").alias("s")
-    near = blocks("not declines", "other_blocks", "seed_blocks", "j", "i").alias("t")
-    both = F.size(F.array_intersect("s.pairs", "t.pairs"))
-    alike = both / (F.size("s.pairs") + F.size("t.pairs") - both) >= ALIKE
-    same = [F.col(f"s.{c}") == F.col(f"t.{c}") for c in ("band", "i", "j")]
-    near = near.join(seeds, same[0] & same[1] & same[2] & alike, "left_semi").select("masked").distinct()
-    return known.where("declines").select("masked").unionByName(near)
+    def bands(opening: pd.Series) -> pd.Series:
+        return pd.Series(_bands(opening.tolist()), dtype=object)
+
+    sums = openings.groupBy("opening").agg(F.sum("n").alias("n"), F.sum("bare").alias("bare"), F.bit_or("prompts").alias("prompts"))
+    known = durable(sums.withColumn("bands", bands("opening")))
+    wanted = known.where("bare > 0").select(F.explode("bands").alias("band")).distinct()
+    banded = only_keys(known.select("opening", "n", "bare", "prompts", F.explode("bands").alias("band")), wanted, ["band"]).join(wanted, "band", "left_semi")
+    centres = banded.groupBy("band").agg(F.max(F.struct("n", "opening")).alias("c")).select("band", F.col("c.opening").alias("centre"))
+    one, two = F.array_distinct(F.split("opening", " ")), F.array_distinct(F.split("centre", " "))
+    both = F.size(F.array_intersect(one, two))
+    members = durable(banded.join(centres, "band").where(both >= ALIKE * (F.size(one) + F.size(two) - both)).drop("centre"))
+    stars = members.groupBy("band").agg(F.sum("n").alias("of"), F.sum("bare").alias("of_bare"), F.bit_count(F.bit_or("prompts")).alias("of_prompts"))
+    found = members.where("bare > 0").join(stars, "band").groupBy("opening").agg((F.sum("of_bare") / F.sum("of")).alias("share"), F.max("of_prompts").alias("prompts"))
+    return found.where((F.col("share") >= BARE) & (F.col("prompts") >= PROMPTS)).select("opening")
 
 
 def defects(df: DataFrame, samples: tuple[tuple[str, str], ...], key: str = "id", messages: str = "messages") -> DataFrame:
@@ -264,30 +247,34 @@ def defects(df: DataFrame, samples: tuple[tuple[str, str], ...], key: str = "id"
         coder = coder_of(samples)
         column = {code: i for i, code in enumerate(coder.languages)}
         for batch in in_parts(batches):
-            rows, open_ = [], []
-            for id_, exchange, question, answer, asked in batch.itertuples(index=False):
-                defect, keys, theirs = None, [], words(question)
+            rows, open_, used = [], [], Counter()
+            for id_, exchange, question, answer, asked in zip(*(batch[c] for c in ("id", "exchange", "question", "answer", "asked"))):
                 if is_empty(answer):
-                    defect = "empty"
+                    rows.append([id_, exchange, "empty", [], [], 0])
+                    continue
+                theirs, ours = words(question), words(answer)
+                if is_copy(theirs, ours):
+                    rows.append([id_, exchange, "copy", [], [], 0])
+                    continue
+                openings, bare = openings_of(answer)
+                cut = is_truncated(answer)
+                if bare:
+                    # related prompts share their least run of three words
+                    runs = run_hashes(theirs, min(3, len(theirs))) if theirs else np.zeros(1, np.uint32)
+                    rows.append([id_, exchange, "truncated" if cut else None, openings, [], 1 << int(runs.min()) % 63])
                 else:
-                    ours = words(answer)
-                    if is_copy(theirs, ours):
-                        defect = "copy"
-                    else:
-                        keys = sentence_keys(answer, len(ours))
-                        if is_truncated(answer):
-                            defect = "truncated"
-                        else:
-                            open_.append((len(rows), question, answer, asked, own_words(question, theirs), own_words(answer, ours)))
-                prompt = xxhash.xxh64_intdigest(" ".join(theirs)) - (1 << 63) if keys else 0
-                rows.append([id_, exchange, defect, [k[0] for k in keys], [k[1] for k in keys], [k[2] for k in keys], prompt])
+                    used.update(openings)
+                    if cut:
+                        rows.append([id_, exchange, "truncated", [], [], 0])
+                if not cut:
+                    open_.append((id_, exchange, question, answer, asked, own_words(question, theirs), own_words(answer, ours)))
             # segments are looked at only where the languages of the texts without quotations and code can differ
-            apart = may_differ(coder.costs([t for x in open_ for t in x[4:]])[0]) if open_ else ()
+            apart = may_differ(coder.costs([t for x in open_ for t in x[5:]])[0]) if open_ else ()
             open_ = [x for x, differ in zip(open_, apart) if differ]
             if open_:
-                asked_in = label_texts([x[1] for x in open_], coder)
-                said_in = label_texts([x[2] for x in open_], coder)
-                for (at, _, _, asked, _, said), theirs, ours in zip(open_, asked_in, said_in):
+                asked_in = label_texts([x[2] for x in open_], coder)
+                said_in = label_texts([x[3] for x in open_], coder)
+                for (id_, exchange, _, _, asked, _, said), theirs, ours in zip(open_, asked_in, said_in):
                     if not theirs[0] or not ours[0] or ours[0] in theirs[2] or theirs[0] in ours[2] or ours[0] in asked:
                         continue
                     tokens = [w for w in said if not w.isdigit()]
@@ -295,16 +282,18 @@ def defects(df: DataFrame, samples: tuple[tuple[str, str], ...], key: str = "id"
                         continue
                     costs = coder.costs([tokens])[0][0]
                     if costs[column[theirs[0]]] - costs[column[ours[0]]] >= LANGUAGE_BITS:
-                        rows[at][2] = "language"
-            yield pd.DataFrame(rows, columns=["id", "exchange", "defect", "masked", "declines", "courtesy", "prompt"])
-
-    judged = durable(pairs.mapInPandas(judge, "id string, exchange long, defect string, masked array<string>, declines array<boolean>, courtesy array<boolean>, prompt long"))
-    said = judged.where(F.size("masked") > 0).select("id", "exchange", "prompt", F.posexplode(F.arrays_zip("masked", "declines", "courtesy")).alias("at", "s"))
-    said = said.select("id", "exchange", "prompt", "at", "s.masked", "s.declines", "s.courtesy")
-    refusing = refusal_sentences(said.select("masked", "declines", "prompt")).distinct().withColumn("refuses", F.lit(True))
-    refused = said.join(refusing, "masked", "left").groupBy("id", "exchange").agg(
-        F.bool_and(F.coalesce("refuses", F.lit(False)) | F.col("courtesy")).alias("nothing_else"), F.max(F.coalesce("refuses", F.lit(False))).alias("refuses")
-    ).where("nothing_else and refuses").select("id", "exchange", F.lit("refusal").alias("refusal"))
-    out = judged.select("id", "exchange", "defect").join(refused, ["id", "exchange"], "left")
-    defect = F.when(F.col("defect").isin("empty", "copy"), F.col("defect")).otherwise(F.coalesce("refusal", "defect"))
-    return out.select("id", "exchange", defect.alias("defect")).where("defect is not null").distinct()
+                        rows.append([id_, exchange, "language", [], [], 0])
+            rows.append([None, 0, None, list(used), list(used.values()), 0])
+            yield pd.DataFrame(rows, columns=["id", "exchange", "defect", "openings", "counts", "prompt"])
+
+    judged = durable(pairs.mapInPandas(judge, "id string, exchange long, defect string, openings array<string>, counts array<long>, prompt long"))
+    plain = judged.where("id is null").select(F.explode(F.arrays_zip("openings", "counts")).alias("o")).select("o.openings", "o.counts")
+    plain = plain.select(F.col("openings").alias("opening"), F.col("counts").alias("n"), F.lit(0).cast("long").alias("bare"), F.lit(0).cast("long").alias("prompts"))
+    said = judged.where("id is not null and size(openings) > 0").select("id", "exchange", F.explode("openings").alias("opening"), "prompt")
+    bare = said.select("opening", F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("bare"), F.col("prompt").alias("prompts"))
+    known = refusing(plain.unionByName(bare)).withColumn("refuses", F.lit(True))
+    refused = said.join(known, "opening", "left").groupBy("id", "exchange").agg(F.bool_and(F.col("refuses").isNotNull()).alias("refuses"))
+    refused = refused.where("refuses").select("id", "exchange", F.lit("refusal").alias("defect"))
+    every = judged.where("id is not null and defect is not null").select("id", "exchange", "defect").unionByName(refused)
+    rank = F.array_position(F.array(*map(F.lit, ("empty", "copy", "refusal", "truncated", "language"))), F.col("defect"))
+    return every.groupBy("id", "exchange").agg(F.min(F.struct(rank.alias("rank"), "defect")).alias("first")).select("id", "exchange", F.col("first.defect").alias("defect"))

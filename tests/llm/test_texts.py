@@ -198,13 +198,10 @@ def test_openings_grow_in_proportion(spark):
     assert len(row.openings) == 3000 and residue.template_residue(df).count() == 0
 
 
-def test_stems_and_hints_cover_the_patterns():
+def test_stems_cover_the_names():
     for names in answers.ASKED.values():
         for name in names.replace(r"\w*", "").split("|"):
             assert any(stem in name for stem in answers._STEMS), name
-    for phrase in ("I can't help with that request.", "Sorry, I have to pass on this one.", "I must decline to answer.", "Nej, det vil jeg ikke skrive om.", "Det må jeg desværre afstå fra.", "Som sprogmodel kan jeg ikke give råd.", "Mine retningslinjer forhindrer mig i at svare.", "Das kann ich leider nicht beantworten.", "Det kan jag tyvärr inte svara på.", "No puedo ayudar con eso."):
-        low = phrase.lower()
-        assert answers.DECLINES.search(low) and any(h in low for h in answers._HINTS), phrase
 
 
 @pytest.mark.parametrize(
@@ -226,7 +223,8 @@ def test_copies():
 def test_defects(spark):
     q = "Please compare both offers and tell the committee what changed."
     turn = lambda a, question=q: [("user", question), ("assistant", a)]
-    rows = [(f"r{i}", turn("Thank you for asking. I can't help with that request."), 0) for i in range(4)]
+    asks = ["Tell me how the jars in the cellar were counted.", "Which of the offers suits our choir best?", "Write a short note about the leaking gutter.", "Why did the meeting take so long last week?"]
+    rows = [(f"r{i}", turn("Thank you for asking. I can't help with that request.", a), 0) for i, a in enumerate(asks)]
     rows += [
         ("empty", turn("<p> </p>"), 0), ("none", [("user", q)], 0), ("two", [("user", q), ("user", q), ("assistant", "It was easier than we thought.")], 0), ("cut", turn("We wrote down every step before the"), 0), ("copy", turn(q.upper()), 0),
         ("language", turn(DA[1]), 0), ("asked", turn(DA[1], q + " Please answer in Danish."), 0), ("fine", turn(EN[0]), 0), ("offers", turn("I can't promise that. " + EN[0]), 0), ("null", None, 0), ("system", [("system", "x"), *turn(EN[0])], 0), ("empty", turn("<p> </p>"), 1),
@@ -262,25 +260,56 @@ def test_skipped_exchanges_have_one_main_language():
     assert not apart.all() and all(a or labels[2 * i][0] == labels[2 * i + 1][0] or None in (labels[2 * i][0], labels[2 * i + 1][0]) for i, a in enumerate(apart))
 
 
-@pytest.mark.parametrize("block", [2000, 3])
-def test_templates_are_compared_with_all_seeds(spark, monkeypatch, block):
-    """All templates that share a band with any seed like them, also where bands have many seeds."""
-    monkeypatch.setattr(answers, "BLOCK", block)
+def brute_refusing(rows):
+    """``refusing`` by plain loops over the bands."""
+    n, bare, prompts = {}, {}, {}
+    for opening, k, b, p in rows:
+        n[opening], bare[opening], prompts[opening] = n.get(opening, 0) + k, bare.get(opening, 0) + b, prompts.get(opening, 0) | p
+    bands = dict(zip(n, answers._bands(list(n))))
+    like = lambda a, b: len(set(a.split()) & set(b.split())) >= answers.ALIKE * len(set(a.split()) | set(b.split()))
+    wanted = {band for o in n if bare[o] for band in bands[o]}
+    stars, out = {}, set()
+    for band in wanted:
+        group = [o for o in n if band in bands[o]]
+        centre = max(group, key=lambda o: (n[o], o))
+        stars[band] = [o for o in group if like(o, centre)]
+    for o in n:
+        mine = [m for m in stars.values() if o in m and bare[o]]
+        share = sum(bare[x] for m in mine for x in m) / max(1, sum(n[x] for m in mine for x in m))
+        count = lambda m: sum(1 << k & (lambda v: __import__("functools").reduce(int.__or__, v))([prompts[x] for x in m]) > 0 for k in range(63))
+        if mine and share >= answers.BARE and max(map(count, mine)) >= answers.PROMPTS:
+            out.add(o)
+    return out
+
+
+def test_clusters_against_loops(spark):
     rng = random.Random(9)
-    ends = [f"w{i}" for i in range(6)]
-    make = lambda: "i can t " + " ".join(rng.choice(ends) for _ in range(rng.randrange(2, 7)))
-    seeds, others = {make() for _ in range(25)}, {make() for _ in range(80)}
-    others -= seeds
-    rare = set(sorted(others)[:10])
-    rows = [(s, True, 1) for s in seeds] + [(o, False, p) for o in others for p in range(2 if o in rare else 3)] + [("", False, p) for p in range(4)]
-    pairs, bands = answers._pairs_of_words, answers._bands
-    like = lambda a, b: len(pairs(a) & pairs(b)) / len(pairs(a) | pairs(b)) >= answers.ALIKE and any(x == y for x, y in zip(bands(a), bands(b)))
-    wanted = {o for o in others - rare if any(like(o, s) for s in seeds)}
-    # what one seed for each band would find
-    least = {b: min(s for s in seeds if b in bands(s)) for s in seeds for b in bands(s)}
-    assert wanted - {o for o in wanted if any(b in least and like(o, least[b]) for b in bands(o))}
-    got = answers.refusal_sentences(spark.createDataFrame(rows, "masked string, declines boolean, prompt long"))
-    assert found(got, "masked") == seeds | wanted
+    heads, tails = ["no i will not", "sorry that is out", "take the offer from", "well i cannot say"], ["w%d" % i for i in range(12)]
+    rows = []
+    for _ in range(300):
+        head = rng.choice(heads)
+        plain_ = head.startswith("take") or rng.random() < (0.02 if head.startswith("no") else 0.1)
+        rows.append((f"{head} {' '.join(rng.sample(tails, rng.randrange(0, 4)))}".strip(), rng.randrange(1, 9) if plain_ else 1, 0 if plain_ else 1, 0 if plain_ else 1 << rng.randrange(63)))
+    rows += [("lonely but bare", 1, 1, 8), ("never bare here", 9, 0, 0)]
+    got = answers.refusing(spark.createDataFrame(rows, "opening string, n long, bare long, prompts long"))
+    want = brute_refusing(rows)
+    assert found(got, "opening") == want and want and "lonely but bare" not in want
+    assert not any(o.startswith("take") for o in want)
+
+
+def test_refusals_are_told_by_recurrence(spark):
+    """Wordings of one cluster, in no list and of any length, across unrelated prompts; one prompt asked again and again is no recurrence."""
+    topics = "tea jam rye figs oats plums".split()
+    ask = lambda t: f"Please write {t} lines about the {t} shelf and the {t} price for my {t} club."
+    no = [f"Zu{k} blarp nu fendle ost quim any of it." for k in "abcdef"]
+    long = "Blarp nu fendle ost quim that. " * 30
+    rows = [(f"r{i}", [("user", ask(t)), ("assistant", no[i].lower().capitalize())]) for i, t in enumerate(topics)]
+    rows += [("long", [("user", ask("corn")), ("assistant", long.strip())])]
+    rows += [(f"same{i}", [("user", ask("peas")), ("assistant", "Hark the moon sings low tonight.")]) for i in range(9)]
+    rows += [(f"fine{i}", [("user", ask(t)), ("assistant", f"Take the offer from Bell{t} for {i} coins.")]) for i, t in enumerate(topics)]
+    rows += [(f"more{i}", [("user", ask(t)), ("assistant", f"Glad to help you out. Buy {i} jars of {t} from Annie.")]) for i, t in enumerate(topics)]
+    df = spark.createDataFrame(rows, "id string, messages array<struct<role:string,content:string>>")
+    assert found(answers.defects(df, SAMPLES).where("defect = 'refusal'"), "id") == {f"r{i}" for i in range(6)} | {"long"}
 
 
 def test_maximal_segments_against_brute_force():

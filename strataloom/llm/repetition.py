@@ -2,7 +2,7 @@
 
 Method: robust multivariate outliers. Each text gives a vector of transformed
 statistics. Per language and source, a minimum-covariance-determinant estimate
-of centre and scatter is made, and a text is rejected where its Mahalanobis
+of centre and scatter is made from several starts, and a text is rejected where its Mahalanobis
 distance exceeds the cut-off on the side of more repetition. The vectors are
 counted on a grid first, so that the estimate covers all texts while its input
 is bounded by the grid and not by the texts. An exact check of the repeated
@@ -12,6 +12,7 @@ share may follow.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import asin, log, sqrt
 
 import numpy as np
 import pandas as pd
@@ -24,13 +25,19 @@ from strataloom.session import durable
 #: Words of a run; a word is repeated where it lies in a run that began earlier.
 RUN = 5
 #: Steps of the grid to one unit of a transformed statistic.
-STEPS = 4
+STEPS = 40
 #: Texts below which a stratum is judged by all texts of its language, and a language by all texts.
 LEAST = 200
 #: Share of a stratum that the estimate is made from.
 CORE = 0.75
+#: Chi-square with 4 degrees of freedom at CORE, and at 0.975, within which a vector has weight.
+AT_CORE, WEIGHTED = 5.385, 11.143
+#: Fixed value: a normal law's scatter to that of its part within WEIGHTED.
+WITHIN = 1.0646
 #: Squared distance beyond which a vector is rejected: chi-square with 4 degrees of freedom at 0.995.
 CUTOFF = 14.86
+#: Random starts of the search besides the one from the medians, and those followed to the end.
+STARTS, FOLLOWED = 24, 4
 
 NAMES = ["repeated", "sentences", "phrases", "types"]
 STATISTICS = "words int, share double, " + ", ".join(f"{n} double" for n in NAMES)
@@ -50,18 +57,23 @@ def repeated_words(tokens: list[str], run: int = RUN) -> int:
 
 
 def statistics_of(text: str | None) -> tuple:
-    """(words, repeated share, four transformed statistics) of a text; zeros where there are no words."""
-    tokens = words(text)
+    """(words, repeated share, four transformed statistics) of a text; zeros where there are no words.
+
+    Shares are transformed to arcs, whose variance hardly depends on the share.
+    """
+    said = [s for s in (words(s) for s in sentences(text)) if s]
+    tokens = [w for s in said for w in s]
     n = len(tokens)
     if not n:
         return 0, 0.0, 0.0, 0.0, 0.0, 0.0
-    repeated = repeated_words(tokens)
-    said = [" ".join(words(s)) for s in sentences(text)]
-    twice = len(said) - len(set(said))
-    threes = list(zip(tokens, tokens[1:], tokens[2:]))
-    again = len(threes) - len(set(threes))
-    odds = lambda part, whole: float(np.log((part + 0.5) / (whole - part + 0.5)))
-    return n, repeated / n, odds(repeated, n), odds(twice, len(said)), odds(again, len(threes)), float(np.log(len(set(tokens)) / n**0.8))
+    # a text without a run that comes twice, as most are, is told by the number of its different runs
+    runs = n - RUN + 1
+    repeated = repeated_words(tokens) if runs > 1 and len(set(zip(*(tokens[k:] for k in range(RUN))))) < runs else 0
+    twice = len(said) - len(set(map(tuple, said)))
+    threes = max(0, n - 2)
+    again = threes - len(set(zip(tokens, tokens[1:], tokens[2:])))
+    arc = lambda part, whole: asin(sqrt((part + 0.375) / (whole + 0.75)))
+    return n, repeated / n, arc(repeated, n), arc(twice, len(said)), arc(again, threes), log(len(set(tokens)) / n**0.8)
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -75,34 +87,60 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("_s", measure(F.col(text))).drop(text).select("*", "_s.*").drop("_s")
 
 
-def core_estimate(points: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Centre and scatter of the core of weighted points, by concentration steps from the medians.
+def _distances(points: np.ndarray, centre: np.ndarray, scatter: np.ndarray) -> np.ndarray:
+    away = points - centre
+    return np.einsum("ij,jk,ik->i", away, np.linalg.inv(scatter), away)
+
+
+def _moments(points: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted mean and scatter, with a ridge of half a grid step where a statistic is constant."""
+    centre = np.average(points, axis=0, weights=weights)
+    away = points - centre
+    return centre, (away * weights[:, None]).T @ away / weights.sum() + np.eye(points.shape[1]) / (2 * STEPS) ** 2
 
-    The scatter is scaled so that the median squared distance is that of a
-    normal law; a ridge of half a grid step keeps it regular where a statistic is constant.
+
+def _step(points: np.ndarray, weights: np.ndarray, centre: np.ndarray, scatter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A concentration step: the moments of the nearest ``CORE`` of all weight. It never enlarges the determinant."""
+    by = np.argsort(_distances(points, centre, scatter), kind="stable")
+    before = np.cumsum(weights[by]) - weights[by]
+    kept = np.clip(CORE * weights.sum() - before, 0, weights[by])
+    return _moments(points[by][kept > 0], kept[kept > 0])
+
+
+def core_estimate(points: np.ndarray, weights: np.ndarray, starts: int = STARTS, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and scatter of weighted points by the fast minimum covariance determinant.
+
+    Starts are the medians and ``starts`` random sets of five points; each takes two
+    concentration steps, the ``FOLLOWED`` least determinants go on until nothing
+    changes, and the least of them is taken. It is scaled to the normal law at
+    ``CORE`` and then re-estimated from all points within ``WEIGHTED`` of it.
     """
-    ridge = np.eye(points.shape[1]) / (2 * STEPS) ** 2
     order = np.argsort(points, axis=0, kind="stable")
     middle = np.array([points[o, j][np.searchsorted(np.cumsum(weights[o]), weights.sum() / 2)] for j, o in enumerate(order.T)])
     spread = np.array([max(1 / STEPS, np.average(np.abs(points[:, j] - middle[j]), weights=weights)) for j in range(points.shape[1])])
-    centre, scatter, kept = middle, np.diag(spread**2), None
-    for _ in range(50):
-        away = points - centre
-        distance = np.einsum("ij,jk,ik->i", away, np.linalg.inv(scatter), away)
-        by = np.argsort(distance, kind="stable")
-        inside = by[: int(np.searchsorted(np.cumsum(weights[by]), CORE * weights.sum())) + 1]
-        if kept is not None and len(kept) == len(inside) and (np.sort(inside) == kept).all():
-            break
-        kept = np.sort(inside)
-        w = weights[inside]
-        centre = np.average(points[inside], axis=0, weights=w)
-        away = points[inside] - centre
-        scatter = (away * w[:, None]).T @ away / w.sum() + ridge
-    away = points - centre
-    distance = np.einsum("ij,jk,ik->i", away, np.linalg.inv(scatter), away)
+    random, tried = np.random.default_rng(seed), [(middle, np.diag(spread**2))]
+    for _ in range(starts):
+        some = random.choice(len(points), points.shape[1] + 1, p=weights / weights.sum())
+        tried.append(_moments(points[some], np.ones(len(some))))
+    tried = [_step(points, weights, *_step(points, weights, *start)) for start in tried]
+    best = None
+    for centre, scatter in sorted(tried, key=lambda t: np.linalg.slogdet(t[1])[1])[:FOLLOWED]:
+        size = np.linalg.slogdet(scatter)[1]
+        for _ in range(100):
+            centre, scatter = _step(points, weights, centre, scatter)
+            now = np.linalg.slogdet(scatter)[1]
+            if now >= size - 1e-12:
+                break
+            size = now
+        if best is None or size < best[0]:
+            best = (size, centre, scatter)
+    _, centre, scatter = best
+    distance = _distances(points, centre, scatter)
     by = np.argsort(distance, kind="stable")
-    median = distance[by][np.searchsorted(np.cumsum(weights[by]), weights.sum() / 2)]
-    return centre, scatter * max(1.0, median / 3.357)  # the median of chi-square with 4 degrees of freedom
+    scatter = scatter * max(1.0, distance[by][np.searchsorted(np.cumsum(weights[by]), CORE * weights.sum())] / AT_CORE)
+    inside = _distances(points, centre, scatter) <= WEIGHTED
+    centre, scatter = _moments(points[inside], weights[inside])
+    return centre, scatter * WITHIN
 
 
 def estimates(stats: DataFrame) -> DataFrame:

@@ -50,11 +50,20 @@ def flight(sizes: np.ndarray, chances: np.ndarray, random: np.random.Generator)
 
 
 def landing(sizes: np.ndarray, chances: np.ndarray) -> np.ndarray:
-    """The 0/1 choice of the few records left whose size is nearest to the expected one."""
+    """The 0/1 choice of the few records left whose size and number are nearest to the expected ones.
+
+    Both differences count in records: sizes are measured by the mean size of those left.
+    """
     out = np.round(chances)
     left = np.flatnonzero((chances > _NEAR) & (chances < 1 - _NEAR))
-    wanted = float(sizes[left] @ chances[left])
-    best = min(range(1 << len(left)), key=lambda bits: (abs(sum(float(sizes[i]) for k, i in enumerate(left) if bits >> k & 1) - wanted), bits))
+    wanted, number = float(sizes[left] @ chances[left]), float(chances[left].sum())
+    mean = float(sizes[left].mean()) if len(left) else 1.0
+
+    def away(bits: int) -> tuple[float, int]:
+        size = sum(float(sizes[i]) for k, i in enumerate(left) if bits >> k & 1)
+        return abs(size - wanted) / mean + abs(bits.bit_count() - number), bits
+
+    best = min(range(1 << len(left)), key=away)
     for k, i in enumerate(left):
         out[i] = best >> k & 1
     return out
@@ -63,39 +72,50 @@ def landing(sizes: np.ndarray, chances: np.ndarray) -> np.ndarray:
 def plan(counts: DataFrame, targets: DataFrame, fraction: float) -> DataFrame:
     """Per source of ``targets``: wanted and present tokens, and what each record is used.
 
-    ``short`` says that all records used ``max_repeats`` times have fewer
-    tokens than wanted. Sources without records have none.
+    Sources without records have none.
     """
     present = counts.where("source is not null").groupBy("source").agg(F.sum("tokens").alias("present"), F.count("*").alias("records"))
     total = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all_tokens"))
     out = targets.join(present, "source", "left").crossJoin(F.broadcast(total)).na.fill(0, ["present", "records"])
     wanted = F.col("target_share") * fraction * F.col("all_tokens")
-    out = out.withColumn("wanted", wanted).withColumn("short", F.col("present") * F.col("max_repeats") < F.col("wanted"))
+    out = out.withColumn("wanted", wanted)
     uses = F.when(F.col("present") > 0, F.least(F.col("wanted") / F.col("present"), F.col("max_repeats").cast("double"))).otherwise(0.0)
     return out.withColumn("uses", uses)
 
 
-def mix(counts: DataFrame, targets: DataFrame, fraction: float, key: str = "doc_id", seed: int = 1, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def exact_fraction(counts: DataFrame, targets: DataFrame, fraction: float) -> float:
+    """The largest fraction, at most ``fraction``, at which no source falls short, so that all shares are met."""
+    ratio = plan(counts, targets, fraction).where("wanted > 0").agg(F.min(F.col("present") * F.col("max_repeats") / F.col("wanted"))).first()[0]
+    return fraction * min(1.0, 1.0 if ratio is None else ratio)
+
+
+def mix(counts: DataFrame, targets: DataFrame, fraction: float, key: str = "doc_id", seed: int = 1, block: int = BLOCK, exact_shares: bool = False) -> tuple[DataFrame, DataFrame]:
     """(copies, report) of the mix.
 
     ``counts`` has ``key``, ``source`` and ``tokens``, a row per record;
     ``targets`` has ``source``, ``target_share`` and ``max_repeats``. ``copies``
     has ``key, source, tokens, copies`` of every record in the mix. ``report`` has
     a row per target: tokens wanted, present and used, the actual share of the
-    mix, and whether the source is short. Records of other sources, without a
-    source or without tokens are not used. Empty tables give empty copies.
+    mix and of all tokens wanted, and whether the source is short: whether all its
+    records are drawn as often as allowed and give fewer tokens than wanted. What
+    short sources lack makes the mix smaller, and so the shares of others larger;
+    ``exact_shares`` takes the mix so small that every share is met. Records of
+    other sources, without a source or without tokens are not used. Empty tables
+    give empty copies.
     """
     kind = dict(counts.dtypes)[key]
+    if exact_shares:
+        fraction = exact_fraction(counts, targets, fraction)
     sources = durable(plan(counts, targets, fraction))
     rows = counts.where("tokens > 0").join(F.broadcast(sources.select("source", "uses", "records")), "source")
     whole = F.floor(F.col("uses") + 1e-12)
     rows = rows.select(key, "source", "tokens", whole.cast("int").alias("whole"), F.greatest(F.col("uses") - whole, F.lit(0.0)).alias("chance"), F.col("records").alias("of"))
 
-    def move(last: bool):
+    def move(last: bool, level: int):
         def run(part: pd.DataFrame) -> pd.DataFrame:
             part = part.sort_values(key, kind="stable").reset_index(drop=True)
             sizes, chances = part["tokens"].to_numpy(float), part["chance"].to_numpy(float)
-            moved = flight(sizes, chances, np.random.default_rng([seed, len(part), int(part["at"].iloc[0])]))
+            moved = flight(sizes, chances, np.random.default_rng([seed, level, int(part["at"].iloc[0]), *str(part["source"].iloc[0]).encode()]))
             return part.assign(chance=landing(sizes, moved) if last else moved)[[key, "source", "tokens", "whole", "chance"]]
 
         return run
@@ -108,7 +128,7 @@ def mix(counts: DataFrame, targets: DataFrame, fraction: float, key: str = "doc_
         placed = open_.withColumn("at", F.pmod(F.xxhash64(key, F.lit(level)), blocks))
         largest = open_.agg(F.max("of")).first()[0] or 0
         last = largest <= block
-        moved = durable(placed.groupBy("source", "at").applyInPandas(move(last), schema))
+        moved = durable(placed.groupBy("source", "at").applyInPandas(move(last, level), schema))
         settled.append(moved.where((F.col("chance") <= _NEAR) | (F.col("chance") >= 1 - _NEAR)))
         if last:
             break
@@ -121,8 +141,10 @@ def mix(counts: DataFrame, targets: DataFrame, fraction: float, key: str = "doc_
     copies = done.select(key, "source", "tokens", (F.col("whole") + F.round("chance").cast("int")).alias("copies")).where("copies > 0")
     used = copies.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("used"), F.sum("copies").cast("long").alias("records_used"))
     sum_ = copies.agg(F.sum(F.col("tokens") * F.col("copies")).alias("mix_tokens"))
-    report = sources.join(used, "source", "left").crossJoin(F.broadcast(sum_)).select(
-        "source", "target_share", F.coalesce(F.col("used") / F.col("mix_tokens"), F.lit(0.0)).alias("actual_share"), "max_repeats", "wanted", "present",
-        F.coalesce("used", F.lit(0)).alias("used"), F.coalesce("records_used", F.lit(0)).alias("records_used"), "short",
+    got, all_wanted = F.coalesce("used", F.lit(0)), sources.agg(F.sum("wanted").alias("all_wanted"))
+    report = sources.join(used, "source", "left").crossJoin(F.broadcast(sum_)).crossJoin(F.broadcast(all_wanted)).select(
+        "source", "target_share", F.coalesce(F.col("used") / F.col("mix_tokens"), F.lit(0.0)).alias("actual_share"), F.coalesce(F.col("used") / F.col("all_wanted"), F.lit(0.0)).alias("share_of_wanted"),
+        "max_repeats", "wanted", "present", got.alias("used"), F.coalesce("records_used", F.lit(0)).alias("records_used"),
+        ((got < F.col("wanted")) & (got >= F.col("present") * F.col("max_repeats"))).alias("short"),
     )
     return copies, report

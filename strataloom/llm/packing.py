@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 #: Containers of one shard; what stays unused is less than about one of them.
 CONTAINERS = 500
-#: Emptiest containers of a shard that the search tries to empty.
-TRIED = 64
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -37,13 +35,18 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 def local_search(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
-    """``bins`` after exchanges that each make the sum of squared fills grow."""
+    """``bins`` after exchanges that each make the sum of squared fills grow.
+
+    The search ends where there are as few containers as all sizes need, or where
+    no container can be changed.
+    """
     fill = [sum(sizes[i] for i in b) for b in bins]
     stuck: set[int] = set()
+    fewest = -(-sum(fill) // capacity)
     while True:
         under = sorted((b for b in range(len(bins)) if bins[b] and fill[b] < capacity), key=lambda b: (fill[b], b))
-        source = next((b for b in under[:TRIED] if b not in stuck), None)
-        if source is None or len(under) < 2:
+        source = next((b for b in under if b not in stuck), None)
+        if source is None or len(under) < 2 or sum(map(bool, bins)) <= fewest:
             return [b for b in bins if b]
         changed = False
         for target in under[:0:-1]:

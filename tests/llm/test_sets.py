@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from math import ceil, floor
 
 import numpy as np
 import pytest
@@ -132,11 +133,37 @@ def test_a_hot_group_of_different_texts(spark):
 def test_controlled_rounding_keeps_both_margins(values):
     table = {(f"r{i}", f"c{j}"): v for i, row in enumerate(values) for j, v in enumerate(row)}
     got = sampling.controlled_rounding(table)
-    near = lambda exact, whole: np.floor(exact + 1e-6) <= whole <= np.ceil(exact - 1e-6)
-    assert all(near(table[k], got[k]) for k in table) and near(sum(table.values()), sum(got.values()))
+    near = lambda exact, whole: floor(exact) <= whole <= ceil(exact)
+    exact = {k: sampling.exact(v) for k, v in table.items()}
+    assert all(near(exact[k], got[k]) for k in table) and near(sum(exact.values()), sum(got.values()))
     for axis in (0, 1):
         for name in {k[axis] for k in table}:
-            assert near(sum(v for k, v in table.items() if k[axis] == name), sum(v for k, v in got.items() if k[axis] == name))
+            assert near(sum(v for k, v in exact.items() if k[axis] == name), sum(v for k, v in got.items() if k[axis] == name))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 60), min_size=3, max_size=3), min_size=2, max_size=4), st.integers(0, 3), st.integers(0, 2), st.integers(0, 9))
+def test_least_numbers_keep_the_margins_that_can_hold_them(values, i, j, more):
+    table = {(f"r{i}", f"c{j}"): v / 4 for i, row in enumerate(values) for j, v in enumerate(row)}
+    cell = (f"r{i % len(values)}", f"c{j}")
+    least = {cell: ceil(table[cell]) + more}  # binds: the cell may be rounded down otherwise
+    got = sampling.controlled_rounding(table, least)
+    assert got[cell] == least[cell] and all(floor(v) <= got[k] <= max(ceil(v), least.get(k, 0)) for k, v in table.items())
+    for axis in (0, 1):
+        for name in {k[axis] for k in table}:
+            keys = [k for k in table if k[axis] == name]
+            whole, part, forced = sum(got[k] for k in keys), sum(table[k] for k in keys), sum(max(floor(table[k]), least.get(k, 0)) for k in keys)
+            assert whole >= floor(part) and (whole <= ceil(part) or name in cell)
+            assert whole <= max(ceil(part), forced) or more
+
+
+def test_binding_numbers_keep_both_margins():
+    table = {("a", "x"): 0.5, ("a", "y"): 0.5, ("b", "x"): 0.5, ("b", "y"): 0.5}
+    for cell in table:
+        got = sampling.controlled_rounding(table, {cell: 1})
+        assert got[cell] == 1 and sorted(got.values()) == [0, 0, 1, 1] and got[cell[0], "y" if cell[1] == "x" else "x"] == 0
+    got = sampling.controlled_rounding({("a", "x"): 1.5, ("a", "y"): 0.5, ("b", "x"): 3.0, ("b", "y"): 5.0}, {("a", "x"): 9})
+    assert got == {("a", "x"): 9, ("a", "y"): 0, ("b", "x"): 3, ("b", "y"): 5} or got["a", "x"] == 9 and sum(got.values()) <= 18
 
 
 def test_least_keys_are_the_plain_ranking(spark):
@@ -228,5 +255,7 @@ def test_mix(spark, block):
     assert sum(r.actual_share for r in got.values()) == pytest.approx(1)
     counts = copies.groupBy("doc_id").count().where("count > 1").count()
     assert counts == 0 and copies.where("copies > 3").count() == 0
+    exact = {r.source: r for r in mixing.mix(df, targets.where("source <> 'absent'"), 0.5, block=block, exact_shares=True)[1].collect()}
+    assert not any(r.short for r in exact.values()) and all(abs(r.actual_share - r.target_share) < 0.03 for r in exact.values())
     nothing, zeros = mixing.mix(df.limit(0), targets, 0.5)
     assert nothing.count() == 0 and zeros.where("used > 0").count() == 0

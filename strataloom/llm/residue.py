@@ -122,15 +122,16 @@ def openings_of(text: str) -> list[int]:
     return out
 
 
-_WORD_HASH: dict[str, int] = {}
+_HASHES: tuple[dict[str, int], dict[str, int]] = ({}, {})
 
 
-def _hashes(tokens: list[str]) -> np.ndarray:
-    known = _WORD_HASH
+def _hashes(tokens: list[str], masked: bool = False) -> np.ndarray:
+    """The hashes of words as they are, or of what they are behind the first of a text: lower case or a slot."""
+    known = _HASHES[masked]
     if len(known) > 500_000:  # bounds the memory, never changes a hash
         known.clear()
     for token in set(tokens).difference(known):
-        known[token] = xxhash.xxh64_intdigest(token)
+        known[token] = xxhash.xxh64_intdigest(masks(["", token])[1] if masked and token not in "^{$" else token)
     return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
 
 
@@ -187,17 +188,17 @@ def filled_places(df: DataFrame, text: str, contexts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = np.unpackbits(shared.value).astype(bool)
         for batch in in_parts(batches):
-            places: list[str] = []
-            words: list[str] = []
+            tokens, firsts = [], []
             for said in batch["text"]:
                 if said:
                     said = plain(said)
                     if not slots_of(said):
-                        found = WORD.findall(said)
-                        places += ["^", "^", *masks(found), "$", "$"]
-                        words += ["^", "^", *found, "$", "$"]
-            if places:
-                place, filler = _pairs(_hashes(places)), _pairs(_hashes(words))
+                        firsts.append(len(tokens) + 2)
+                        tokens += ["^", "^", *WORD.findall(said), "$", "$"]
+            if tokens:
+                filler, place = _pairs(_hashes(tokens)), _hashes(tokens, masked=True)
+                place[firsts] = _hashes([masks(tokens[at : at + 1])[0] for at in firsts])
+                place = _pairs(place)
                 at = np.flatnonzero(wanted[place[:-2] % FILTER])
                 yield pd.DataFrame({"context": place[at], "filler": filler[at + 2]}).drop_duplicates()
 

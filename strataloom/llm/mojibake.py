@@ -8,9 +8,14 @@ known misreading is tried inside those runs only, and taken where it shortens
 the description of the run. A replacement character inside a word is garbled
 text that nothing can restore.
 
-A run that is no more than the short content of quotation marks is a quotation
-of such characters, and a character that stands alone is a sign: neither makes
-a text garbled.
+A run that is no more than the content of quotation marks, without a blank and
+at least half of it beyond ASCII, is a quotation of such characters, and a
+character that stands alone is a sign: neither makes a text garbled.
+
+Only words with a character beyond ASCII can be in a garbled run, and words
+recur. So a task scores every such word once, and looks for runs in the texts
+alone that hold a word with an improbable pair. The table of pairs goes to all
+tasks where it is small; a larger one is joined with blocks of texts instead.
 """
 
 from __future__ import annotations
@@ -24,20 +29,24 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataloom.llm.text import in_parts
+from strataloom.session import durable
+
 #: Bits of surprise that a pair in a run must exceed on average.
 SURPRISE = 9.0
 #: Bits by which a restoration must shorten a run.
 GAIN = 6.0
-#: Entries of the pair table that is sent to the tasks (16 bytes each); rarer
-#: pairs beyond it score as unseen ones.
-PAIRS = 1_000_000
+#: Entries of the pair table up to which it is sent to the tasks (16 bytes each);
+#: a larger one is joined with blocks of about ``BLOCK`` texts, with the same result.
+PAIRS, BLOCK = 1_000_000, 2000
 
 #: Fixed values: (read as, was) of the misreadings that are tried.
 MISREADINGS = [(read, was) for was in ("utf-8", "cp1252", "cp850", "cp437", "mac_roman") for read in ("cp1252", "cp437", "cp850", "mac_roman", "cp1251", "cp1250", "iso8859_15", "latin-1") if read != was]
 _CHUNK = re.compile(r"[^\x00-\x7f]+")
-_QUOTED = re.compile(r"(?<![^\s(])[“«„\"'‘`]([^\s“”«»„\"'‘’`]{1,8})[”»“\"'’`]")
+_QUOTED = re.compile(r"(?<![^\s(])[“«„\"'‘`]([^\s“”«»„\"'‘’`]+)[”»“\"'’`]")
 _LOST = re.compile("\\w\ufffd|\ufffd\\w")
 _TOKEN = re.compile(r"[^ \t\r\n]+")
+_BREAK = re.compile(r"[\t\r\n]")
 
 FOUND = "garbled boolean, restored string, misreading string, runs int"
 
@@ -52,42 +61,62 @@ def pair_counts(df: DataFrame, text: str) -> DataFrame:
     in all texts. Blanks of any kind count as one character and begin each text."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, sizes = np.empty(0, np.int64), np.empty(0, np.int64)
-        for batch in batches:
+        plain, keys, sizes = np.zeros(128 * 128, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        for batch in in_parts(batches):
             texts = [t for t in batch["text"] if t]
             if not texts:
                 continue
             flat = code_points(" " + " ".join(texts))
             flat[flat <= 32] = 32
-            new, n = np.unique(flat[:-1] << 21 | flat[1:], return_counts=True)
+            a, b = flat[:-1], flat[1:]
+            ascii_ = (a | b) < 128
+            plain += np.bincount(a[ascii_] << 7 | b[ascii_], minlength=len(plain))
+            other = ~ascii_
+            new, n = np.unique(a[other] << 21 | b[other], return_counts=True)
             keys, inverse = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            sizes = np.bincount(inverse, np.concatenate([sizes, n])).astype(np.int64)
-        yield pd.DataFrame({"pair": keys, "n": sizes})
+            sizes = np.bincount(inverse, np.concatenate([sizes, n]), len(keys)).astype(np.int64)
+        at = np.flatnonzero(plain)
+        yield pd.DataFrame({"pair": np.concatenate([at >> 7 << 21 | at & 127, keys]), "n": np.concatenate([plain[at], sizes])})
 
     rows = df.select(F.col(f"`{text}`").cast("string").alias("text")).mapInPandas(count, "pair long, n long")
     return rows.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 class PairModel:
-    """Mutual information of adjacent characters, from frozen counts."""
+    """Mutual information of adjacent characters, from frozen counts.
+
+    ``marginals`` has the characters with their counts as left and as right
+    neighbours; without it they are those of the pairs given.
+    """
 
-    def __init__(self, pairs: np.ndarray, counts: np.ndarray) -> None:
+    def __init__(self, pairs: np.ndarray, counts: np.ndarray, marginals: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> None:
         order = np.argsort(pairs)
         self.pairs, counts = pairs[order], counts[order].astype(float)
-        self.total = float(counts.sum()) or 1.0
         left, right = self.pairs >> 21, self.pairs & (1 << 21) - 1
-        self.left, at = np.unique(left, return_inverse=True)
-        n_left = np.bincount(at, counts, len(self.left))
-        self.right, to = np.unique(right, return_inverse=True)
-        n_right = np.bincount(to, counts, len(self.right))
+        if marginals is None:
+            chars = np.unique(np.concatenate([left, right]))
+            marginals = chars, np.bincount(np.searchsorted(chars, left), counts, len(chars)), np.bincount(np.searchsorted(chars, right), counts, len(chars))
+        chars, n_left, n_right = marginals
+        self.total = float(n_right.sum()) or 1.0
         # mutual information of the pair; log2 p(a, b) / (p(a) p(b))
+        at, to = np.searchsorted(chars, left), np.searchsorted(chars, right)
         self.information = np.log2(counts * self.total / np.maximum(n_left[at] * n_right[to], 1e-9)) if len(counts) else counts
-        self.self_information = -np.log2(np.maximum(n_right, 0.5) / self.total) if len(counts) else n_right
-        self.n_left = n_left
+        self.right = chars[n_right > 0]
+        self.self_information = -np.log2(np.maximum(n_right[n_right > 0], 0.5) / self.total)
         self.unseen = np.log2(2 * self.total)
         self.readings: dict[str, list] = {}
+        self.words: dict[str, bool] = {}
         self.ascii = np.array([self._surprise(np.full(128, a), np.arange(128)) for a in range(128)])
 
+    def improbable(self, words: list[str]) -> None:
+        """Note in ``words`` for each of the words given whether it has a character of more than ``SURPRISE`` bits."""
+        new = list(set(words).difference(self.words))
+        if new:
+            flat = code_points(" " + " ".join(new) + " ")
+            flat[flat <= 32] = 32
+            starts = np.cumsum([0, *(len(w) + 1 for w in new[:-1])])
+            self.words.update(zip(new, (np.maximum.reduceat(self.surprise(flat), starts) > SURPRISE).tolist()))
+
     def _surprise(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         out = np.full(len(a), self.unseen)
         if not len(self.pairs):
@@ -112,14 +141,15 @@ class PairModel:
         out[~plain] = self._surprise(a[~plain], b[~plain])
         return out
 
-    def rarity(self, text: str) -> float:
-        """Self-information of the characters beyond ASCII."""
+    def rarity(self, text: str) -> tuple[float, float]:
+        """Self-information of the characters beyond ASCII: of all, and of the rarest."""
         flat = code_points(text)
         flat = flat[flat > 127]
         if not len(flat) or not len(self.right):
-            return 0.0
+            return 0.0, 0.0
         at = np.minimum(np.searchsorted(self.right, flat), len(self.right) - 1)
-        return float(np.where(self.right[at] == flat, self.self_information[at], self.unseen).sum())
+        bits = np.where(self.right[at] == flat, self.self_information[at], self.unseen)
+        return float(bits.sum()), float(bits.max())
 
     def bits(self, text: str) -> float:
         """Description length of a text between blanks."""
@@ -169,18 +199,20 @@ def undo(token: str, read: str, was: str) -> str | None:
 
 def _readings(chunk: str, model: PairModel) -> list[tuple[str, float] | None]:
     """For each misreading, the characters a chunk was before it, or before a
-    doubled one, and how much more usual they are; null where it can't have been."""
-    out, rarity = [], model.rarity(chunk)
+    doubled one, and how much more usual they are; null where it can't have been,
+    and where one of them is rarer than all there are."""
+    out, (rarity, rarest) = [], model.rarity(chunk)
     for read, was in MISREADINGS:
         back = undo(chunk, read, was)
         if back is not None and was == "utf-8" and not back.isascii():
             again = undo(back, read, was)
-            if again and again != back and model.rarity(again) < model.rarity(back):
+            if again and again != back and model.rarity(again)[0] < model.rarity(back)[0]:
                 back = again
         if back is None or back == chunk or any(0x7F <= ord(ch) < 0xA0 for ch in back):
             out.append(None)
         else:
-            out.append((back, rarity - model.rarity(back)))
+            usual, most = model.rarity(back)
+            out.append((back, rarity - usual) if most <= rarest else None)
     return out
 
 
@@ -207,17 +239,27 @@ def _inside(text: str, start: int, end: int) -> bool:
     return bool(re.search(r"[A-Za-zæøåäöüßéíóáñ][^\x00-\x7f]|[^\x00-\x7f][A-Za-z]", part))
 
 
-def repair(text: str | None, model: PairModel, scores: np.ndarray | None = None) -> tuple[bool, str | None, str | None, int]:
-    """(garbled, restored text, misreading, runs) of a text.
+def repair(text: str | None, model: PairModel) -> tuple[bool, str | None, str | None, int]:
+    """(garbled, restored text, misreadings, runs) of a text.
 
     The restored text is null where the text isn't garbled and where nothing can
-    restore it. Null, empty and plain ASCII texts are not garbled.
+    restore it. What one misreading leaves garbled is tried once more, so a text
+    may be restored from two. Null, empty and plain ASCII texts are not garbled.
     """
+    garbled, restored, misreading, runs = _repair(text, model)
+    if restored is not None:
+        _, again, other, more = _repair(restored, model)
+        if again is not None:
+            return garbled, again, f"{misreading}, {other}", runs + more
+    return garbled, restored, misreading, runs
+
+
+def _repair(text: str | None, model: PairModel) -> tuple[bool, str | None, str | None, int]:
     if not text or text.isascii():
         return False, None, None, 0
     flat = code_points(" " + text)
     flat[flat <= 32] = 32
-    surprise = model.surprise(flat) if scores is None else scores
+    surprise = model.surprise(flat)
     quoted = [m.span(1) for m in _QUOTED.finditer(text) if not m[1].isascii() and len(_CHUNK.findall(m[1])) and sum(len(c) for c in _CHUNK.findall(m[1])) * 2 >= len(m[1])]
     tokens: dict[tuple[int, int], None] = {}
     segments = maximal_segments(surprise - SURPRISE)
@@ -275,17 +317,71 @@ def garbled(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     texts are not garbled; repeated keys give repeated rows; an empty table gives
     no rows.
     """
-    counts = pair_counts(df, text).orderBy(F.desc("n"), "pair").limit(PAIRS).toPandas()
-    model = PairModel(counts["pair"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        for batch in batches:
-            rows = [(k, *repair(t, model)) for k, t in zip(batch["key"], batch["text"])]
-            rows = [(k, r, m, n) for k, g, r, m, n in rows if g]
-            yield pd.DataFrame(rows, columns=["key", "restored", "misreading", "runs"])
-
     kind = dict(df.dtypes)[key]
-    found = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text")).mapInPandas(run, f"key {kind}, restored string, misreading string, runs int")
+    pairs = durable(pair_counts(df, text))
+    left, right = F.shiftright("pair", 21), F.col("pair").bitwiseAND(F.lit((1 << 21) - 1))
+    sides = pairs.select(F.explode(F.array(F.struct(left.alias("c"), F.col("n").alias("l"), F.lit(0).cast("long").alias("r")), F.struct(right.alias("c"), F.lit(0).cast("long").alias("l"), F.col("n").alias("r")))).alias("s"))
+    chars = sides.groupBy("s.c").agg(F.sum("s.l").alias("l"), F.sum("s.r").alias("r")).orderBy("c").toPandas()  # at most all characters there are
+    marginals = tuple(chars[c].to_numpy(np.int64 if c == "c" else float) for c in ("c", "l", "r"))
+    odd = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").rlike(r"[^\x00-\x7F]"))
+    schema = f"key {kind}, restored string, misreading string, runs int"
+    if pairs.count() <= PAIRS:
+        table = pairs.toPandas()
+        shared = df.sparkSession.sparkContext.broadcast(PairModel(table["pair"].to_numpy(np.int64), table["n"].to_numpy(np.int64), marginals))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            model = shared.value
+            for batch in in_parts(batches):
+                yield repairs(batch, model)
+
+        found = odd.mapInPandas(run, schema)
+    else:
+        found = joined_repairs(odd, pairs, marginals, schema)
     return found.withColumnRenamed("key", key)
+
+
+def repairs(batch: pd.DataFrame, model: PairModel) -> pd.DataFrame:
+    """The garbled ones of the texts ``key, text``."""
+    if len(model.words) > 500_000:  # bounds the memory, never changes a result
+        model.words.clear()
+    words = [[w for w in _BREAK.sub(" ", t).split(" ") if not w.isascii()] for t in batch["text"]]
+    model.improbable([w for some in words for w in some])
+    known, rows = model.words, []
+    for k, t, some in zip(batch["key"], batch["text"], words):
+        if any(map(known.__getitem__, some)):
+            is_, restored, misreading, runs = repair(t, model)
+            if is_:
+                rows.append((k, restored, misreading, runs))
+    return pd.DataFrame(rows, columns=["key", "restored", "misreading", "runs"])
+
+
+def pairs_wanted(text: str) -> np.ndarray:
+    """All pairs that ``repair`` may ask for: those of a text, and of what its characters
+    beyond ASCII, with a neighbour on each side, may have been before four misreadings."""
+    padded = f" {text} "
+    seen = level = {padded[m.start() - 1 : m.end() + 1] for m in _CHUNK.finditer(padded)}
+    for _ in range(4):  # two repairs, each of a misreading or a doubled one
+        level = {back for part in level for read, was in MISREADINGS if (back := undo(part, read, was)) is not None} - seen
+        seen = seen | level
+    flat = code_points("\n".join([padded, *seen, *(f" {m[0]} " for part in seen for m in _TOKEN.finditer(part))]))
+    flat[flat <= 32] = 32
+    return np.unique(flat[:-1] << 21 | flat[1:])
+
+
+def joined_repairs(odd: DataFrame, pairs: DataFrame, marginals: tuple, schema: str) -> DataFrame:
+    """The repairs by a model of their own for each block of texts, which has the counts of just the pairs it may ask for."""
+    shared = odd.sparkSession.sparkContext.broadcast(marginals)
+    blocks = max(1, odd.count() // BLOCK)
+    placed = odd.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks)))
+
+    def want(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in in_parts(batches, 100):
+            for block, part in batch.groupby("block"):
+                yield pd.DataFrame({"block": block, "pair": np.unique(np.concatenate([pairs_wanted(t) for t in part["text"]]))})
+
+    wanted = placed.select("block", "text").mapInPandas(want, "block long, pair long").distinct().join(pairs, "pair")
+
+    def mend(texts: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        return repairs(texts, PairModel(counts["pair"].to_numpy(np.int64), counts["n"].to_numpy(np.int64), shared.value))
+
+    return placed.groupBy("block").cogroup(wanted.groupBy("block")).applyInPandas(mend, schema)

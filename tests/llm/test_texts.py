@@ -342,6 +342,23 @@ def test_garbled_texts_come_back(spark):
     assert mojibake.garbled(df.limit(0)).count() == 0
 
 
+def test_a_table_of_pairs_of_any_size(spark, monkeypatch):
+    """Beyond PAIRS entries the table is joined with blocks of texts, with the same result; two misreadings are both undone."""
+    rng = random.Random(3)
+    words = "kælderen mødet før ændret bestyrelsen lettere århus øl hjælp større måske træ græs blå sø gård år på så får vær læs skrev trin talte alle".split()
+    plain = [" ".join(rng.choice(words) for _ in range(40)) + "." for _ in range(120)]
+    rows = [(i, t) for i, t in enumerate(plain)]
+    rows += [(1000 + k, plain[k].encode(was).decode(read, "replace" if read != "cp1252" else "strict")) for k, (was, read) in enumerate(GARBLED)]
+    half = plain[20][:100].encode().decode("cp1252") + plain[20][100:].encode().decode("mac_roman")
+    rows += [(2000, plain[7].encode().decode("cp1252").encode().decode("cp1252")), (2001, plain[8].replace("ø", "�")), (2002, None), (2003, half)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = found(mojibake.garbled(df), "doc_id", "restored", "misreading", "runs")
+    assert {w[0] for w in want} >= {1000, 1001, 1002, 1003, 1004, 2000, 2001, 2003} and dict((w[0], w[1]) for w in want)[2003] == plain[20]
+    monkeypatch.setattr(mojibake, "PAIRS", 10)
+    monkeypatch.setattr(mojibake, "BLOCK", 30)
+    assert found(mojibake.garbled(df), "doc_id", "restored", "misreading", "runs") == want
+
+
 def test_hints_cover_the_vocabularies():
     pages = "javascript noscript cookie browser scripts scripting error errors fejl exception traceback forbidden denied nægtet permission unauthorized found findes fundet unavailable utilgængelig timeout gateway maintenance vedligeholdelse quota session captcha robot login loading indlæs reload status undefined access adgang subscribe abonnement 404 410 429 503".split()
     for word in [*pages, "not be found", "nothing matches", "ikke fundet", "too many requests", "sign in", "log ind", "connection is secure", "stack trace", "segmentation fault", "null pointer", "timed out"]:

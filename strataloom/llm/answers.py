@@ -16,7 +16,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 
 from strataloom.llm.language import coder_of, label_texts, unquoted
 from strataloom.llm.neardup import only_keys, run_hashes
-from strataloom.llm.text import WORD, in_parts, words
+from strataloom.llm.text import AT_ONCE, SENTENCE, WORD, in_parts, words
 from strataloom.session import durable
 
 #: Unrelated prompts across which a cluster must recur to be one that refuses.
@@ -53,36 +52,31 @@ ASKED = {
     "nb": r"norwegian|norsk\w*|norwegisch\w*|norska|noruego|noruega|bokmål",
     "es": r"spanish|spansk\w*|spanisch\w*|spanska|español\w*|castellano",
 }
+_ASKED = {code: re.compile(rf"(?i)\b(?:{names})\b") for code, names in ASKED.items()}
 #: One of these stands in every name of a language.
 _STEMS = ("engl", "engel", "ingl", "dans", "danis", "dän", "danés", "danes", "tysk", "germ", "deut", "alem", "svens", "schwed", "swed", "suec", "norsk", "norw", "norue", "bokm", "span", "spansk", "españ", "castell")
 _TAGS = re.compile(r"<[^<>]*>|&\w+;|\[\s*\]|\{\s*\}")
-_END = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\s*\n+\s*")
 _ITEM = re.compile(r"^\s*(?:[-*•–]|\d+[.)])\s+(.*)$")
 _CLOSED = ".!?…`”\"»’'|)]}>"
 
 
 
-def exchange_rows(df: DataFrame, key: str, messages: str) -> DataFrame:
-    """``id, exchange, question, answer, asked`` of every user turn, by built-in functions.
+def exchanges_of(roles, contents) -> list[tuple[int, str, str | None]]:
+    """(exchange, question, answer) of every user turn; turns without a role are skipped, and
+    the answer is the assistant turn that directly follows, or null."""
+    turns = [t for t in zip(roles, contents) if t[0] is not None]
+    out = []
+    for i, (role, content) in enumerate(turns):
+        if role == "user":
+            follows = turns[i + 1] if i + 1 < len(turns) else (None, None)
+            out.append((len(out) + 1, content or "", follows[1] if follows[0] == "assistant" else None))
+    return out
 
-    Null turns and roles are skipped; the answer is the assistant turn that
-    directly follows, or null. ``asked`` has the languages that a user turn names.
-    """
-    said = F.transform(F.filter(messages, lambda m: m.isNotNull() & m["role"].isNotNull()), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-
-    def pairs(turns):
-        at = F.filter(F.sequence(F.lit(0), F.size(turns)), lambda i: F.coalesce(F.get(turns, i)["role"] == "user", F.lit(False)))
-        return F.transform(at, lambda i: F.struct(F.coalesce(F.get(turns, i)["content"], F.lit("")).alias("question"), F.when(F.get(turns, i + 1)["role"] == "assistant", F.get(turns, i + 1)["content"]).alias("answer")))
 
-    def once(value, body):
-        return F.get(F.transform(F.array(value), body), F.lit(0))
-
-    asks = F.array_join(F.transform(F.filter("turns", lambda m: m["role"] == "user"), lambda m: m["content"]), "\n")
-    named = F.filter(F.array(*(F.when(F.col("asks").rlike(rf"(?iuU)\b(?:{names})\b"), code) for code, names in ASKED.items())), lambda code: code.isNotNull())
-    rows = df.select(F.col(f"`{key}`").cast("string").alias("id"), said.alias("turns")).where("turns is not null").select("id", "turns", asks.alias("asks"))
-    asked = F.when(F.col("asks").rlike("(?iu)" + "|".join(_STEMS)), named).otherwise(F.array().cast("array<string>"))
-    rows = rows.select("id", asked.alias("asked"), F.posexplode(once(F.col("turns"), pairs)).alias("at", "pair"))
-    return rows.select("id", (F.col("at") + 1).cast("long").alias("exchange"), "pair.question", "pair.answer", "asked")
+def asked_in(roles, contents) -> set[str]:
+    """The languages that user turns name."""
+    named = [c for r, c in zip(roles, contents) if r == "user" and c and any(stem in low for low in (c.lower(),) for stem in _STEMS)]
+    return {code for code, pattern in _ASKED.items() if any(map(pattern.search, named))}
 
 
 def is_empty(answer: str | None) -> bool:
@@ -161,23 +155,36 @@ def is_truncated(answer: str) -> bool:
     return True
 
 
-def openings_of(answer: str) -> tuple[list[str], bool]:
-    """The masked openings of the sentences of an answer, and whether it is bare.
+class _Masks(dict):
+    """What a word is behind the first of its sentence: lower case, or a slot (``#``) for numbers and capital words."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > 500_000:  # bounds the memory, never changes a mask
+            self.clear()
+        mask = self[word] = word if word.isalpha() and word[0].islower() else "i" if word == "I" else "#"
+        return mask.lower()
+
+
+_MASKS = _Masks()
+
+
+def openings_of(answer: str) -> tuple[list[str], bool, list[str]]:
+    """The masked openings of the sentences of an answer, whether it is bare, and its words in lower case.
 
     An opening is the first ``OPENING`` words of a sentence in lower case; numbers,
     and capital words after the first, are slots (``#``).
     """
-    out, bare = [], True
-    for sentence in _END.split(answer):
-        tokens = []
-        found = WORD.finditer(sentence)
-        for m in islice(found, OPENING):
-            word = m[0]
-            tokens.append(word.lower() if word.isalpha() and (not tokens or word[0].islower() or word == "I") else "#")
-        if tokens:
-            out.append(" ".join(tokens))
-            bare = bare and "#" not in tokens and not any(not m[0].isalpha() or not (m[0][0].islower() or m[0] == "I") for m in found)
-    return out, bare
+    out, bare, said = [], True, []
+    for sentence in SENTENCE.split(answer):
+        found = WORD.findall(sentence)
+        if found:
+            said += found
+            first = found[0]
+            found[0] = first.lower() if first.isalpha() else "#"
+            found[1:] = map(_MASKS.__getitem__, found[1:])
+            out.append(" ".join(found[:OPENING]).lower())
+            bare = bare and "#" not in found
+    return out, bare, list(map(str.lower, said))
 
 
 BANDS, ROWS = 16, 2
@@ -241,22 +248,23 @@ def defects(df: DataFrame, samples: tuple[tuple[str, str], ...], key: str = "id"
     ``language``. Rows that share a key count once. Null messages and
     conversations without a user turn give no rows; neither does an empty table.
     """
-    pairs = exchange_rows(df.where(F.col(f"`{key}`").isNotNull()), key, messages)
+    talks = df.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("string").alias("id"), F.col(f"`{messages}`.role").alias("roles"), F.col(f"`{messages}`.content").alias("contents")).where("roles is not null")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = coder_of(samples)
         column = {code: i for i, code in enumerate(coder.languages)}
-        for batch in in_parts(batches):
+        for batch in in_parts(batches, AT_ONCE // 2):
             rows, open_, used = [], [], Counter()
-            for id_, exchange, question, answer, asked in zip(*(batch[c] for c in ("id", "exchange", "question", "answer", "asked"))):
+            talks = list(zip(batch["id"], batch["roles"], batch["contents"]))
+            for at, (id_, exchange, question, answer) in ((at, (t[0], *x)) for at, t in enumerate(talks) for x in exchanges_of(*t[1:])):
                 if is_empty(answer):
                     rows.append([id_, exchange, "empty", [], [], 0])
                     continue
-                theirs, ours = words(question), words(answer)
+                theirs = words(question)
+                openings, bare, ours = openings_of(answer)
                 if is_copy(theirs, ours):
                     rows.append([id_, exchange, "copy", [], [], 0])
                     continue
-                openings, bare = openings_of(answer)
                 cut = is_truncated(answer)
                 if bare:
                     # related prompts share their least run of three words
@@ -267,15 +275,15 @@ def defects(df: DataFrame, samples: tuple[tuple[str, str], ...], key: str = "id"
                     if cut:
                         rows.append([id_, exchange, "truncated", [], [], 0])
                 if not cut:
-                    open_.append((id_, exchange, question, answer, asked, own_words(question, theirs), own_words(answer, ours)))
+                    open_.append((id_, exchange, question, answer, at, own_words(question, theirs), own_words(answer, ours)))
             # segments are looked at only where the languages of the texts without quotations and code can differ
             apart = may_differ(coder.costs([t for x in open_ for t in x[5:]])[0]) if open_ else ()
             open_ = [x for x, differ in zip(open_, apart) if differ]
             if open_:
-                asked_in = label_texts([x[2] for x in open_], coder)
-                said_in = label_texts([x[3] for x in open_], coder)
-                for (id_, exchange, _, _, asked, _, said), theirs, ours in zip(open_, asked_in, said_in):
-                    if not theirs[0] or not ours[0] or ours[0] in theirs[2] or theirs[0] in ours[2] or ours[0] in asked:
+                questions = label_texts([x[2] for x in open_], coder)
+                answers_ = label_texts([x[3] for x in open_], coder)
+                for (id_, exchange, _, _, at, _, said), theirs, ours in zip(open_, questions, answers_):
+                    if not theirs[0] or not ours[0] or ours[0] in theirs[2] or theirs[0] in ours[2] or ours[0] in asked_in(*talks[at][1:]):
                         continue
                     tokens = [w for w in said if not w.isdigit()]
                     if len(tokens) < LANGUAGE_WORDS:
@@ -286,7 +294,7 @@ def defects(df: DataFrame, samples: tuple[tuple[str, str], ...], key: str = "id"
             rows.append([None, 0, None, list(used), list(used.values()), 0])
             yield pd.DataFrame(rows, columns=["id", "exchange", "defect", "openings", "counts", "prompt"])
 
-    judged = durable(pairs.mapInPandas(judge, "id string, exchange long, defect string, openings array<string>, counts array<long>, prompt long"))
+    judged = durable(talks.mapInPandas(judge, "id string, exchange long, defect string, openings array<string>, counts array<long>, prompt long"))
     plain = judged.where("id is null").select(F.explode(F.arrays_zip("openings", "counts")).alias("o")).select("o.openings", "o.counts")
     plain = plain.select(F.col("openings").alias("opening"), F.col("counts").alias("n"), F.lit(0).cast("long").alias("bare"), F.lit(0).cast("long").alias("prompts"))
     said = judged.where("id is not null and size(openings) > 0").select("id", "exchange", F.explode("openings").alias("opening"), "prompt")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataloom.llm.neardup import FILTER, only_keys
-from strataloom.llm.text import WORD, in_parts
+from strataloom.llm.text import SENTENCE, WORD, in_parts
 from strataloom.session import durable
 
 #: Companions of equal weight that make an opening one of free requests.
@@ -75,7 +75,7 @@ _PAGE_HINTS = (
 )
 _QUOTED = re.compile(r"`[^`\n]*`|“[^”\n]*”|«[^»\n]*»|„[^“”\n]*[“”]|(?<!\w)\"[^\"\n]*\"(?!\w)|(?<!\w)'[^'\n]*'(?!\w)|‘[^’\n]*’")
 _CODE = re.compile(r"```.*?(?:```|\Z)", re.S)
-_END = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\s*\n\s*")
+_TWO = re.compile(r"([^\W_]+)(?:[\W_]+([^\W_]+))?")
 _MARKS, _QUOTES = re.compile(r"[{\[<%_@]"), re.compile(r"[`“«„\"'‘]")
 
 FEATURES = "id string, blank boolean, openings array<long>, contexts array<long>"
@@ -112,11 +112,10 @@ def masked(text: str) -> list[str]:
 def openings_of(text: str) -> list[int]:
     """The hashes of the first two words of every sentence, in order; none where both are slots."""
     out = []
-    for sentence in _END.split(text):
-        words = [m[0] for m in (WORD.search(sentence or ""),) if m]
-        if words:
-            second = WORD.search(sentence, sentence.index(words[0]) + len(words[0]))
-            tokens = masked(words[0]) + (masked(f"a {second[0]}")[1:] if second else [])
+    for sentence in SENTENCE.split(text):
+        two = _TWO.search(sentence)
+        if two:
+            tokens = masks([w for w in two.groups() if w])
             if any(token != "#" for token in tokens):
                 out.append(_hash(" ".join(tokens)))
     return out

@@ -6,9 +6,9 @@ runs of words, so texts of similarity s differ in about 80 (1 - s) bits. A tree
 over all texts would prune nothing at the radius that similarity 0.5 needs, so
 the trees stand in shards: one for every band of min-hashes that texts share.
 Exact copies are one class before anything else, a tree never holds more than
-``SHARD`` fingerprints (a fuller bucket is cut into several trees, and every
-pair of its blocks is a task of its own), and what the trees return is verified
-on the runs of words themselves.
+about ``SHARD`` fingerprints, and what the trees return is verified on the runs of
+words themselves. A fuller band is found from counts before its rows meet, and
+cut into blocks by a hash; every pair of its blocks is a task of its own.
 
 The issue's method broadcasts the trees. Here each tree lies in the task of its
 shard instead: the trees of all rows have no size bound.
@@ -31,6 +31,8 @@ from strataloom.session import durable
 BANDS, ROWS, BITS = 40, 4, 160
 #: Fingerprints in one tree.
 SHARD = 2000
+#: Full bands up to which their names (16 bytes each) go to all tasks, so that their rows stay where they are.
+FULLEST = 100_000
 
 SKETCH = "field string, id string, cid long, bits_hi long, bits_lo long, bits_ex int, bands array<int>, tails array<smallint>"
 
@@ -192,29 +194,43 @@ def _fingerprint(high: int, low: int, extra: int) -> int:
     return ((high & (2**64 - 1)) << 64 | low & (2**64 - 1)) << 32 | extra & (2**32 - 1)
 
 
+def full_bands(members: DataFrame, classes: int, shard: int) -> DataFrame:
+    """``band, n`` of the bands with more than ``shard`` members.
+
+    Bands are first counted by a hash with so many places that one has less than
+    half a shard on average, which takes no more than a few rows of a task; only the
+    members of places that are too full are counted by band.
+    """
+    places = max(1024, 1 << (2 * BANDS * classes // shard).bit_length())
+    place = F.pmod(F.xxhash64("band"), F.lit(places))
+    full = members.groupBy(place.alias("place")).agg(F.count("*").alias("n")).where(F.col("n") > shard).select("place")
+    return members.withColumn("place", place).join(full, "place", "left_semi").groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > shard)
+
+
 def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> DataFrame:
     """Pairs ``a < b`` of classes that share a band and whose fingerprints lie within the radius.
 
-    ``classes`` has ``cid``, ``bits_hi``, ``bits_lo``, ``bits_ex``, ``bands`` and ``tails``. A band with at
-    most ``shard`` classes is one tree. A fuller one is cut into blocks of
-    ``shard``; each pair of its blocks is a task, so no tree and no task grows.
+    ``classes`` has ``cid``, ``bits_hi``, ``bits_lo``, ``bits_ex``, ``bands`` and ``tails``, and is
+    read several times. A band with at most ``shard`` classes is one tree. The rows
+    of a fuller one never meet: they are cut into blocks of about ``shard`` by a hash,
+    and each pair of its blocks is a task, so no tree and no task grows.
     """
     radius = radius_of(similarity)
     spec = Window.partitionBy("band")
     members = classes.select("cid", "bits_hi", "bits_lo", "bits_ex", "tails", F.posexplode("bands").alias("of", "band"))
     band = F.shiftleft(F.col("of").cast("long"), 48).bitwiseOR(F.shiftleft(F.col("band").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)), 16)).bitwiseOR(F.get("tails", "of").cast("long").bitwiseAND(F.lit(0xFFFF)))
     members = members.select("cid", "bits_hi", "bits_lo", "bits_ex", band.alias("band"))
-    members = members.withColumn("at", F.row_number().over(spec.orderBy("cid"))).withColumn("among", F.count("*").over(spec))
+    full = durable(full_bands(members.select("band"), classes.count(), shard))
+    hot = not full.isEmpty()
+    # the bands of one class have nothing to find; what is left of a band lies together and in order
+    small = members.join(full, "band", "left_anti") if hot else members
+    small = small.withColumn("among", F.count("*").over(spec)).where("among > 1").select("band", "cid", "bits_hi", "bits_lo", "bits_ex").sortWithinPartitions("band", "cid")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree, band = BKTree(), None
         for batch in batches:
             left, right = [], []
-            for key, cid, high, low, extra, among in zip(*(batch[c].tolist() for c in ("band", "cid", "bits_hi", "bits_lo", "bits_ex", "among"))):
-                if among > shard:
-                    left.append(key)
-                    right.append(None)
-                    continue
+            for key, cid, high, low, extra in zip(*(batch[c].tolist() for c in ("band", "cid", "bits_hi", "bits_lo", "bits_ex"))):
                 if key != band:
                     tree, band = BKTree(), key
                 bits = _fingerprint(high, low, extra)
@@ -222,13 +238,10 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
                     left.append(other)
                     right.append(cid)
                 tree.add(bits, cid)
-            yield pd.DataFrame({"a": pd.array(left, "Int64"), "b": pd.array(right, "Int64")})
+            yield pd.DataFrame({"a": np.array(left, np.int64), "b": np.array(right, np.int64)})
 
-    # the rows of a band lie together and in order, as the window left them; of a fuller band only one row comes, to name it
-    found = members.where((F.col("among") > 1) & ((F.col("among") <= shard) | (F.col("at") == 1)))
-    found = durable(found.select("band", "cid", "bits_hi", "bits_lo", "bits_ex", "among").mapInPandas(search, "a long, b long").distinct())
-    fuller, found = found.where("b is null").select(F.col("a").alias("band")), found.where("b is not null")
-    if fuller.isEmpty():
+    found = small.mapInPandas(search, "a long, b long").distinct()
+    if not hot:
         return found
 
     def block_pair(part: pd.DataFrame) -> pd.DataFrame:
@@ -244,8 +257,9 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
                 tree.add(bits, cid)
         return pd.DataFrame({"a": left, "b": right}, dtype="int64")
 
-    blocks = members.join(fuller, "band", "left_semi").select("band", "cid", "bits_hi", "bits_lo", "bits_ex", F.expr(f"(at - 1) div {shard}").alias("block"), F.expr(f"(among - 1) div {shard}").alias("last"))
-    blocks = blocks.withColumn("other", F.explode(F.expr("sequence(0L, last)")))
+    blocks = members.join(F.broadcast(full), "band") if full.count() <= FULLEST else members.join(full, "band")
+    blocks = blocks.withColumn("blocks", F.ceil(F.col("n") / shard).cast("long")).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+    blocks = blocks.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     blocks = blocks.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "bits_hi", "bits_lo", "bits_ex")
     return found.unionByName(blocks.groupBy("band", "i", "j").applyInPandas(block_pair, "a long, b long")).distinct()
 
@@ -308,9 +322,9 @@ def near_duplicates(texts: DataFrame, least_words: dict[str, int], similarity: f
     if every:
         drawn = drawn.unionByName(texts.where("id is not null and text is null").select("field", F.col("id").cast("string").alias("id"), F.lit(None).cast("long").alias("cid")))
     drawn = durable(drawn)
-    # the sketches are large and read once, so they are not kept
     classes = sketches(rows, least_words, run).groupBy("field", "cid").agg(F.min(F.struct("id", "bits_hi", "bits_lo", "bits_ex", "bands", "tails")).alias("of"))
-    pairs = durable(tree_pairs(classes.select("cid", "of.bits_hi", "of.bits_lo", "of.bits_ex", "of.bands", "of.tails"), similarity, shard))
+    classes = durable(classes.select("cid", "of.bits_hi", "of.bits_lo", "of.bits_ex", "of.bands", "of.tails"))
+    pairs = durable(tree_pairs(classes, similarity, shard))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     ends = durable(drawn.select("field", "cid", "id").join(ends, "cid", "left_semi").groupBy("field", "cid").agg(F.min("id").alias("id")))
     sets = durable(only_keys(rows, ends, ["field", "id"]).join(ends, ["field", "id"]).dropDuplicates(["field", "id"]).select("field", "cid", _run_sets(run)("text").alias("runs")))

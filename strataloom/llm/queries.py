@@ -147,6 +147,13 @@ def p7_groups(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.grouped(*neardup.near_duplicates(texts, dict.fromkeys(fields, 1), similarity=0.8, run=5, every=True))
 
 
+def p7_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The links of ``p7_groups``: pairs of classes of equal texts with their similarity."""
+    texts, fields = near_texts(spark, folder)
+    links = neardup.near_duplicates(texts, dict.fromkeys(fields, 1), similarity=0.8, run=5)[1]
+    return links.select("field", F.hex("a").alias("class_a"), F.hex("b").alias("class_b"), F.round("similarity", 6).alias("similarity"))
+
+
 def filled(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
     """The assignment of problem 8 and the capacity."""
     capacity = int(setting(spark, folder, "container_capacity"))
@@ -202,7 +209,7 @@ def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_labels, p2_found, p2_shares, p3_found, p3_totals, p4_found, p4_kinds, p5_found, p6_found, p6_report, p6_sample, p7_found, p7_groups,
+        p1_found, p1_labels, p2_found, p2_shares, p3_found, p3_totals, p4_found, p4_kinds, p5_found, p6_found, p6_report, p6_sample, p7_found, p7_groups, p7_links,
         p8_containers, p8_found, p8_report, p9_found, p9_mix, p9_report, p10_found, p10_restored,
     )
 }

@@ -128,6 +128,21 @@ def test_a_hot_group_of_different_texts(spark):
     assert neardup.expand(members, links).count() == 40 * 39 // 2
 
 
+def test_a_band_that_half_of_all_share(spark):
+    """50,000 classes in one band: no task sees more than two blocks, and planted pairs are found."""
+    n, shard = 50_000, 5000
+    rng = np.random.default_rng(4)
+    high, low = rng.integers(-(2**62), 2**62, n), rng.integers(-(2**62), 2**62, n)
+    high[1::500], low[1::500] = high[::500], low[::500]  # each 500th has a neighbour
+    pdf = {"cid": np.arange(n), "bits_hi": high, "bits_lo": low, "bits_ex": np.zeros(n, int)}
+    df = spark.createDataFrame(list(zip(*(v.tolist() for v in pdf.values()))), "cid long, bits_hi long, bits_lo long, bits_ex int")
+    df = df.withColumn("bands", F.array(F.lit(7), F.col("cid").cast("int") + 100)).withColumn("tails", F.array(F.lit(1), F.lit(2)).cast("array<smallint>")).repartition(8)
+    members = df.select(F.explode("bands").alias("band"))
+    assert [tuple(r) for r in neardup.full_bands(members, n, shard).collect()] == [(7, n)]
+    got = found(neardup.tree_pairs(df, 1.0, shard), "a", "b")
+    assert got == {(i, i + 1) for i in range(0, n, 500)}
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.floats(0, 9), min_size=3, max_size=3), min_size=1, max_size=4))
 def test_controlled_rounding_keeps_both_margins(values):

@@ -66,6 +66,11 @@ def cut_at(text: Column, boundary: str) -> Column:
     return stripped(F.split_part(text, F.lit(boundary), F.lit(1)))
 
 
+def outer_object(text: Column) -> Column:
+    """The outermost JSON object of a text, with or without a fence around it; empty without one."""
+    return F.regexp_extract(text, r"(?s)\{.*\}", 0)
+
+
 def uuid5_url(name: Column) -> Column:
     """The version 5 UUID of a name in the URL name space."""
     space = F.unhex(F.lit("6ba7b8119dad11d180b400c04fd430c8"))

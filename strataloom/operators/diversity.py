@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataloom.functions import text as T
+from strataloom.session import durable
 
 
 def frequencies(df: DataFrame, by: list[str], value: Column) -> DataFrame:
@@ -76,6 +77,33 @@ def neighbours(pairs: DataFrame, by: list[str], thresholds: list[float]) -> Data
     return levels.groupBy(*by, "threshold").agg(F.count("*").alias("pairs")).join(ends.groupBy(*by, "threshold").agg(F.count_distinct("end").alias("rows")), [*by, "threshold"])
 
 
+def lane_report(rows: DataFrame, k: int = 100, thresholds: tuple[float, ...] = (0.65, 0.75, 0.85)) -> tuple[DataFrame, DataFrame]:
+    """(report, sample): a line a lane with the variety of its rows, and the sample its texts are compared in.
+
+    ``rows`` has ``id, lane, text`` and a struct ``diversity``. The report has rows,
+    different values and entropy of topics, domains and modes, personas and the
+    most uses of one, the most frequent openings of the sample, and for each
+    threshold the pairs of its rows that are alike and the rows with such a neighbour.
+    """
+    named = rows.select("lane", *(F.coalesce(F.col(f"diversity.{c}"), F.lit("")).alias(n) for n, c in (("topic", "topic_id"), ("domain", "topic_domain"), ("mode", "interaction_mode"), ("persona", "persona_source_id"))))
+    report = named.groupBy("lane").agg(F.count("*").alias("rows"))
+    for name in ("topic", "domain", "mode"):
+        of = entropy(frequencies(named, ["lane"], F.col(name)), ["lane"])
+        report = report.join(of.select("lane", F.col("values").alias(f"{name}s"), F.round("entropy", 9).alias(f"{name}_entropy")), "lane", "left")
+    people = frequencies(named, ["lane"], F.col("persona")).groupBy("lane").agg(F.count("*").alias("personas"), F.max("n").alias("most_uses"))
+    report = report.join(people, "lane", "left")
+    # drawn from the keys; only the sample's texts travel
+    drawn = hash_sample(rows.select("id", "lane"), ["lane"], "id", "lane-report", k)
+    sample = durable(rows.join(F.broadcast(drawn.select("id", "lane")), ["id", "lane"]).select("id", "lane", "diversity", "text"))
+    tops = top_values(frequencies(sample, ["lane"], T.opening(F.col("text"))), ["lane"])
+    report = report.join(tops.groupBy("lane").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))), lambda t: t["value"]).alias("openings")), "lane", "left")
+    near = neighbours(durable(tfidf_pairs(sample, ["lane"], "id", "text", min(thresholds))), ["lane"], list(thresholds))
+    for threshold in thresholds:
+        mine = near.where(F.col("threshold") == threshold).select("lane", F.col("pairs").alias(f"near_pairs_{int(threshold * 100)}"), F.col("rows").alias(f"near_rows_{int(threshold * 100)}"))
+        report = report.join(mine, "lane", "left")
+    return report.na.fill(0), sample
+
+
 def gate(report: dict[str, float]) -> None:
     """Raise where a lane is not diverse enough."""
     if report["topics"] < 130 or report["modes"] != 20 or min(report["topic_entropy"], report["mode_entropy"]) < 0.99 or report["near_rows"] > 10:

@@ -8,6 +8,24 @@ from pyspark.sql import functions as F
 from strataloom.functions import text as T
 
 
+def flagged(rows: DataFrame, cell: list[str], quotas: DataFrame, key: str = "id", bits: int = 12) -> DataFrame:
+    """``rows`` of cells with a quota, with ``chosen``: the rows that ``top_of_cells`` takes.
+
+    Read it once for all reports; ``rows`` itself is read three times, so it
+    should be a table or a checkpoint.
+    """
+    drawn = rows.withColumn("_digest", T.digest(F.col(key))).withColumn("_group", F.substring("_digest", 1, bits // 4))
+    counts = drawn.groupBy(*cell, "_group").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*cell).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # at most 2 ** bits groups a cell of the grid
+    groups = counts.withColumn("_before", before).join(F.broadcast(quotas.select(*cell, "quota")), cell)
+    placed = drawn.join(groups, [*cell, "_group"])
+    cut = (F.col("_before") < F.col("quota")) & (F.col("_before") + F.col("_n") > F.col("quota"))
+    rank = F.row_number().over(Window.partitionBy(*cell, "_group").orderBy("_digest", key))
+    some = placed.where(cut).withColumn("chosen", F.col("_before") + rank <= F.col("quota"))
+    return placed.where(~cut).withColumn("chosen", F.col("_before") < F.col("quota")).unionByName(some).select(*rows.columns, "chosen")
+
+
 def top_of_cells(rows: DataFrame, cell: list[str], quotas: DataFrame, key: str = "id", bits: int = 12, retain: bool = False) -> DataFrame:
     """The ``quota`` rows of each cell with the least digest of their key.
 
@@ -27,6 +45,14 @@ def top_of_cells(rows: DataFrame, cell: list[str], quotas: DataFrame, key: str =
     return taken.where("_before + _n <= quota").unionByName(cut).select(*rows.columns)
 
 
+def flagged_report(rows: DataFrame, quotas: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """The report of ``cell_report`` from rows with ``chosen``, in one pass."""
+    cell = ["language", "complexity", "band"]
+    got = rows.groupBy(*cell).agg(F.count("*").alias("available"), F.count_if("chosen").alias("rows"), F.sum(F.when(F.col("chosen"), F.col(tokens))).alias("tokens"))
+    out = quotas.withColumnRenamed("quota", "target").join(got, cell, "left").na.fill(0, ["available", "rows", "tokens"])
+    return out.select(*cell, "available", "rows", "tokens", "target", F.greatest(F.col("rows") - F.col("target"), F.lit(0)).alias("surplus"), F.greatest(F.col("target") - F.col("rows"), F.lit(0)).alias("shortfall"))
+
+
 def cell_report(available: DataFrame, chosen: DataFrame, quotas: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Per cell of the grid: rows available and chosen, tokens, target, surplus and shortfall (A10)."""
     cell = ["language", "complexity", "band"]

@@ -61,6 +61,22 @@ def stride(n: int, start: int) -> int:
     return step
 
 
+def assigner(topics: DataFrame, modes: DataFrame, people: int, seed: int, language: str) -> tuple[DataFrame, DataFrame, int, int]:
+    """(topics, modes, offset, step) of a language: catalogues in an order shuffled by the seed, with their ``position``,
+    and where persona positions begin and how far they step (G3). Catalogues are small; people must be at least one."""
+    if people < 1:
+        raise ValueError(f"there are no personas for {language}")
+    stream, out = random.Random(f"{seed}:{language}:catalog"), []
+    for frame, order in ((topics, ["domain", "id"]), (modes, ["id"])):
+        some = frame.orderBy(*order).collect()
+        stream.shuffle(some)
+        out.append(frame.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(some)], "position long, " + ", ".join(f"`{n}` {k}" for n, k in frame.dtypes)))
+    step = 1 + 2 * (seed % max(1, people // 2))
+    while math.gcd(step, people) != 1:
+        step += 2
+    return *out, seed % people, step
+
+
 def assign(rows: DataFrame, index: Column, topics: DataFrame, modes: DataFrame, personas: DataFrame, n_topics: int, n_modes: int, n_personas: int, offset: int, step: int) -> DataFrame:
     """Rows with topic, mode and persona by modular positions.
 

@@ -42,6 +42,25 @@ def answer_control(language: Column, most_words: Column) -> Column:
     )
 
 
+def user_turn_budget(cap: Column, current: Column, remaining: Column, most: int, least_user: int = 64, least_assistant: int = 192) -> Column:
+    """``generation.user_turn_budget`` of a column."""
+    reserve = least_assistant + (remaining - 1) * (least_user + least_assistant + 12)
+    share = F.floor((cap - current) / F.greatest(F.lit(1), 3 * remaining))
+    return F.least(F.lit(most), cap - current - reserve, F.greatest(F.lit(least_user), share)).cast("long")
+
+
+def answer_turn_budget(cap: Column, prompt: Column, future: Column, most: int, limit: int, least_user: int = 64, least_assistant: int = 192) -> Column:
+    """``generation.answer_turn_budget`` of a column."""
+    reserve = future * (least_user + 12)
+    share = F.floor((cap - prompt - reserve) / (future + 1))
+    return F.least(F.lit(most), cap - prompt - reserve - 4, limit - prompt - 4, F.greatest(F.lit(least_assistant), share)).cast("long")
+
+
+def answer_control_text(language: str, most_words: int) -> str:
+    """``answer_control`` of one conversation."""
+    return f"Svar på dansk med højst {most_words} ord, og slut med en hel sætning." if language == "da" else f"Answer in at most {most_words} words and end with a whole sentence."
+
+
 def transcript(messages: Column, upto: Column) -> Column:
     """The first ``upto`` messages as JSON."""
     return F.to_json(F.slice(messages, F.lit(1), upto))

@@ -9,17 +9,28 @@ from strataloom.functions import text as T
 
 
 def latest(df: DataFrame, key: str = "id", at: str = "ingested_at") -> DataFrame:
-    """One row per key, the latest: an aggregate, so partial sums shrink the shuffle."""
-    kept = df.groupBy(key).agg(F.max_by(F.struct(*[c for c in df.columns if c != key]), F.col(at)).alias("_row"))
+    """One row per key, the latest: an aggregate, so partial results shrink the shuffle.
+
+    Rows of the same time are told apart by a hash of all their columns; a null time
+    comes before any other. All columns are shuffled, so compute what is wanted of
+    a text first and call this on the result.
+    """
+    others = [c for c in df.columns if c != key]
+    order = F.struct(F.col(at).isNotNull(), F.col(at), F.xxhash64(*others))
+    kept = df.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("_row"))
     return kept.select(key, "_row.*").select(*df.columns)
 
 
 def keep_first(df: DataFrame, digest: Column, order: list[str]) -> DataFrame:
-    """Keep-first dedup: the first row, by ``order``, of every digest."""
-    named = df.withColumn("_digest", digest)
-    first = named.groupBy("_digest").agg(F.min(F.struct(*order)).alias("_first"))
-    # the key of a group of copies may hold a third of the rows: the first is an aggregate and comes back by a join on the order
-    return named.join(first.select(*(F.col(f"_first.{c}").alias(c) for c in order)), order, "left_semi").drop("_digest")
+    """Keep-first dedup: the first row, by ``order``, of every digest.
+
+    An aggregate, as a group of copies may hold a third of the rows. Nulls of the
+    order come last, and a null digest is a digest. ``df`` should have a column of
+    digests instead of the text: what it has is shuffled.
+    """
+    by = F.struct(*(part for c in order for part in (F.col(c).isNull(), F.col(c))))
+    first = df.groupBy(digest.alias("_digest")).agg(F.min_by(F.struct(*df.columns), by).alias("_row"))
+    return first.select("_row.*")
 
 
 def banded(df: DataFrame, bands: DataFrame, band: str, tokens: Column, most: int) -> DataFrame:
@@ -40,6 +51,16 @@ def exchanges(messages: Column) -> Column:
     return F.coalesce(F.size(F.filter(messages, lambda m: m["role"] == "assistant")), F.lit(0))
 
 
+def turn_array(messages: Column, usage: Column) -> Column:
+    """An array of what ``turns`` gives but the transcript, one struct per assistant message: what is wanted of it is
+    computed inside the row, before any shuffle."""
+    at = F.filter(F.sequence(F.lit(0), F.size(messages)), lambda i: F.coalesce(F.get(messages, i)["role"] == "assistant", F.lit(False)))
+    return F.transform(at, lambda i, n: F.struct(
+        i.alias("position"), (n + 1).alias("turn"), F.when(i > 0, F.get(messages, i - 1)["content"]).alias("question"), F.get(messages, i)["content"].alias("answer"),
+        F.get(usage, n)["finish_reason"].alias("finish_reason"), F.get(usage, n)["actual_output_tokens"].alias("output_tokens"),
+    ))
+
+
 def turns(df: DataFrame, key: str = "id", messages: str = "messages", usage: str = "turn_token_usage") -> DataFrame:
     """A row per assistant message: its number, the message before it, and its usage."""
     said = df.select(key, F.posexplode(messages).alias("position", "m"), F.col(messages).alias("_all"), F.col(usage).alias("_usage"))

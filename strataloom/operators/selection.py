@@ -29,6 +29,31 @@ def take_until(candidates: DataFrame, cell: list[str], need: Column, expected: C
     return rows.withColumn("selected", F.coalesce(F.sum("_expected").over(before), F.lit(0.0)) < need).drop("_order", "_expected")
 
 
+def cell_projection(quotas: DataFrame, kept: DataFrame, had: DataFrame, taken: DataFrame, cell: list[str]) -> DataFrame:
+    """Per cell: quota, emitted, what there was before, what is projected with the shards taken, and retention."""
+    more = taken.groupBy(*cell).agg(F.sum("expected").alias("_more"))
+    rows = quotas.join(kept.select(*cell, "emitted", "retention"), cell, "left").join(had, cell, "left").join(more, cell, "left")
+    base = F.coalesce(F.col("had").cast("double"), F.lit(0.0))
+    projected = F.bround(base + F.coalesce(F.col("_more").cast("double"), F.lit(0.0))).cast("long")
+    return rows.select(
+        *cell, "quota", F.coalesce("emitted", F.lit(0)).alias("emitted"), F.bround(base).cast("long").alias("baseline"), projected.alias("projected"), "retention",
+        F.greatest(F.lit(0), F.col("quota") - projected).alias("shortfall"),
+    )
+
+
+def receipt(report: DataFrame, taken: DataFrame, cell: list[str]) -> dict:
+    """A selection as a document: its cells, its rows by language, the cells that fall short, and its shards. Cells and shards are few."""
+    lines = [r.asDict() for r in report.orderBy(*cell).collect()]
+    name = lambda line: "/".join(line[c] for c in cell)
+    by_language: dict[str, int] = {}
+    for line in lines:
+        by_language[line["language"]] = by_language.get(line["language"], 0) + line["projected"]
+    return {
+        "cells": {name(line): {k: v for k, v in line.items() if k not in cell and k != "shortfall"} for line in lines}, "projected_rows": by_language,
+        "shortfalls": {name(line): line["shortfall"] for line in lines if line["shortfall"] > 0}, "shard_keys": sorted(r["shard_key"] for r in taken.select("shard_key").collect()),
+    }
+
+
 def hold_and_release(tasks: DataFrame, selected: DataFrame, key: str = "shard_key") -> DataFrame:
     """``tasks`` with their new ``status``: pending surplus is held, held selections are released."""
     flagged = tasks.join(selected.select(key).distinct().withColumn("_in", F.lit(True)), key, "left")

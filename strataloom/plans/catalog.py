@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom.functions import text as T
-from strataloom.operators import diversity, finalize, ledger, planning, rows, selection, validation
-from strataloom.session import shared_folder
+from strataloom.operators import diversity, finalize, ledger, planning, prompts, rows, selection, validation
+from strataloom.session import durable, shared_folder
+from strataloom.sources import files
 from strataloom.sources.tables import table
 from strataloom.streaming import phases
 
@@ -83,7 +84,7 @@ def filter_code_or_short(spark, d):
 
 @query(f"WITH {_REQUESTS} SELECT id, regexp_matches(lower(instruction), '{_LEAK}') AS leaks FROM requests")
 def filter_meta_leak(spark, d):
-    return requests(spark, d, "instruction").select("id", T.leaks_prompt(F.col("instruction")).alias("leaks"))
+    return rows.latest(table(spark, d, "instruction_rows").select("id", "ingested_at", T.leaks_prompt(F.col("instruction")).alias("leaks"))).select("id", "leaks")
 
 
 _BY_LANGUAGE = """
@@ -98,10 +99,10 @@ _BY_LANGUAGE = """
     WHEN regexp_matches(lower(t), '{_CODE}') OR length(t) < 80 THEN 'language audit required' {_BY_LANGUAGE} FROM s)
   SELECT id, reason IN ('ok', 'language audit required') AS accepted, reason FROM v""")
 def validate_instruction(spark, d):
-    df = requests(spark, d, "instruction", "language_lane", "validation_result")
+    df = table(spark, d, "instruction_rows")
     sure = F.when(F.col("validation_result.uncertain_language"), 0.5).otherwise(0.99)
     verdict = validation.request_verdict(F.col("instruction"), lane_of(), F.col("validation_result.detected_language"), sure)
-    return df.select("id", verdict.alias("v")).select("id", "v.accepted", "v.reason")
+    return rows.latest(df.select("id", "ingested_at", verdict.alias("v")).select("id", "ingested_at", "v.accepted", "v.reason")).drop("ingested_at")
 
 
 _TURNS = f"""{_TALKS}, places AS (SELECT id, language_lane, messages, turn_token_usage, unnest(range(1, len(messages) + 1)) AS p FROM talks),
@@ -110,9 +111,11 @@ _TURNS = f"""{_TALKS}, places AS (SELECT id, language_lane, messages, turn_token
   used AS (SELECT *, turn_token_usage[turn].finish_reason AS finish_reason, turn_token_usage[turn].actual_output_tokens AS output_tokens FROM turns)"""
 
 
-def _turns(spark, d):
-    df = talks(spark, d, "messages", "turn_token_usage", "language_lane")
-    return rows.turns(df), df
+def _turns(spark, d, **wanted):
+    """What is wanted of each assistant message of the latest conversations; only that is shuffled."""
+    df = table(spark, d, "audit_rows").withColumn("said", rows.turn_array(F.col("messages"), F.col("turn_token_usage")))
+    each = F.transform("said", lambda t: F.struct(t["turn"].alias("turn"), *(make(t).alias(name) for name, make in wanted.items())))
+    return rows.latest(df.select("id", "ingested_at", each.alias("turns"))).select("id", F.explode("turns").alias("t")).select("id", "t.*")
 
 
 @query(f"""WITH {_TURNS}, b AS (SELECT *, regexp_replace(coalesce(answer, ''), '{_BLANK}+$', '') AS body FROM used),
@@ -122,17 +125,15 @@ def _turns(spark, d):
     WHEN coalesce(regexp_extract_all(lower(visible), '[A-Za-zÀ-ÖØ-öø-ÿ]+')[-1], '') IN ({_UNFINISHED}) THEN 'generation ends with an incomplete function word'
     WHEN visible = '' OR NOT contains('{T.TERMINAL.replace("'", "''")}', right(visible, 1)) THEN 'generation has no complete terminal boundary' ELSE 'complete' END AS reason FROM v""")
 def validate_completion(spark, d):
-    return _turns(spark, d)[0].select("id", "turn", validation.completion_reason(F.col("answer"), F.col("finish_reason")).alias("reason"))
+    return _turns(spark, d, reason=lambda t: validation.completion_reason(t["answer"], t["finish_reason"]))
 
 
 @query(f"""WITH {_TURNS}, s AS (SELECT id, turn, question AS q, answer AS a, concat(question, chr(10), answer) AS t, NULL::VARCHAR AS detected, 0.0 AS sure, {_LANE} AS lane FROM used)
   SELECT id, turn, CASE WHEN coalesce({_strip('q')}, '') = '' OR coalesce({_strip('a')}, '') = '' THEN 'empty instruction or response'
     WHEN regexp_matches(t, '{_CONTROL}') THEN 'invalid control character' WHEN length(t) < 80 OR regexp_matches(lower(t), '{_CODE}') THEN 'language audit required' {_BY_LANGUAGE} FROM s""")
 def validate_pair(spark, d):
-    df = _turns(spark, d)[0]
     none = F.lit(None)
-    verdict = validation.pair_verdict(F.col("question"), F.col("answer"), none.cast("string"), none.cast("string"), none.cast("double"))
-    return df.select("id", "turn", verdict["reason"].alias("reason"))
+    return _turns(spark, d, reason=lambda t: validation.pair_verdict(t["question"], t["answer"], none.cast("string"), none.cast("string"), none.cast("double"))["reason"])
 
 
 @query(f"""WITH c AS (SELECT doc_id, {_strip("split_part(text, 'Assistant:', 1)")} AS t FROM documents)
@@ -148,8 +149,8 @@ def prompt_digest(spark, d):
 
 @query(f"SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY sha256({_fold('text')}) ORDER BY created_at, doc_id) AS rn FROM documents) WHERE rn = 1")
 def exact_dedup_first(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "source", "created_at", "text")
-    return rows.keep_first(df, rows.digest_of_prompt(F.col("text")), ["created_at", "doc_id"]).select("doc_id", "source")
+    df = table(spark, d, "documents").select("doc_id", "source", "created_at", rows.digest_of_prompt(F.col("text")).alias("digest"))
+    return rows.keep_first(df, F.col("digest"), ["created_at", "doc_id"]).select("doc_id", "source")
 
 
 _KEPT = f"""{_TALKS}, first AS (SELECT *, {_LANE} AS language, list_filter(messages, lambda m: m.role = 'user')[1].content AS prompt FROM talks WHERE coalesce(audit.accepted, false)),
@@ -159,9 +160,11 @@ _KEPT = f"""{_TALKS}, first AS (SELECT *, {_LANE} AS language, list_filter(messa
 
 
 def _kept(spark, d):
-    df = talks(spark, d, "language_lane", "user_complexity_level", "length_band", "messages", "rendered_token_count", "audit").where(F.coalesce("audit.accepted", F.lit(False)))
-    df = rows.keep_first(df.withColumn("prompt", rows.first_user(F.col("messages"))), rows.digest_of_prompt(F.col("prompt")), ["ingested_at", "id"])
-    df = df.select("id", lane_of().alias("language"), F.col("user_complexity_level").alias("complexity"), F.col("length_band").alias("band"), F.col("rendered_token_count").alias("tokens"))
+    df = table(spark, d, "audit_rows").select(
+        "id", "ingested_at", F.coalesce("audit.accepted", F.lit(False)).alias("accepted"), rows.digest_of_prompt(rows.first_user(F.col("messages"))).alias("digest"), lane_of().alias("language"),
+        F.col("user_complexity_level").alias("complexity"), F.col("length_band").alias("band"), F.col("rendered_token_count").alias("tokens"),
+    )
+    df = rows.keep_first(rows.latest(df).where("accepted"), F.col("digest"), ["ingested_at", "id"]).select("id", "language", "complexity", "band", "tokens")
     return rows.banded(df, table(spark, d, "length_bands"), "band", F.col("tokens"), LIMIT)
 
 
@@ -330,37 +333,36 @@ _CHOSEN = f"""{_KEPT}, {_quotas_sql(1.0).replace(' c AS', ' cc AS').replace('FRO
 
 
 def _chosen(spark, d):
-    available = _kept(spark, d).where("in_band").drop("in_band")
-    quotas = _quotas(spark, d)
-    cell = ["language", "complexity", "band"]
-    return available.join(F.broadcast(quotas.select(*cell)), cell, "left_semi"), finalize.top_of_cells(available, cell, quotas), quotas
+    """The rows in band with whether they are chosen, and the quotas; the chain before is run once."""
+    available, quotas = durable(_kept(spark, d).where("in_band").drop("in_band")), _quotas(spark, d)
+    return finalize.flagged(available, ["language", "complexity", "band"], quotas), quotas
 
 
 @query(f"WITH {_CHOSEN} SELECT id, language, complexity, band, tokens FROM chosen")
 def topn_per_cell(spark, d):
-    return _chosen(spark, d)[1].select("id", "language", "complexity", "band", "tokens")
+    return _chosen(spark, d)[0].where("chosen").select("id", "language", "complexity", "band", "tokens")
 
 
 @query(f"WITH {_CHOSEN} SELECT * FROM cell_out")
 def cell_report(spark, d):
-    return finalize.cell_report(*_chosen(spark, d))
+    return finalize.flagged_report(*_chosen(spark, d))
 
 
 @query(f"WITH {_CHOSEN} SELECT language, band, " + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("available", "rows", "tokens", "target", "surplus", "shortfall")) + " FROM cell_out GROUP BY language, band")
 def band_report(spark, d):
-    return finalize.band_report(finalize.cell_report(*_chosen(spark, d)))
+    return finalize.band_report(finalize.flagged_report(*_chosen(spark, d)))
 
 
 @query(f"""WITH {_CHOSEN} SELECT language, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(target) AS BIGINT) AS target,
   CAST(greatest(sum(rows) - sum(target), 0) AS BIGINT) AS surplus, CAST(greatest(sum(target) - sum(rows), 0) AS BIGINT) AS shortfall FROM cell_out GROUP BY language""")
 def lane_report(spark, d):
-    return finalize.lane_report(finalize.cell_report(*_chosen(spark, d)))
+    return finalize.lane_report(finalize.flagged_report(*_chosen(spark, d)))
 
 
 @query(f"""WITH {_KEPT} SELECT (SELECT count(*) FROM talks) AS conversations, (SELECT count(*) FROM talks WHERE NOT coalesce(audit.accepted, false)) AS not_accepted,
   (SELECT count(*) FROM first) - (SELECT count(*) FROM kept) AS repeated, (SELECT count(*) FROM kept WHERE NOT in_band) AS out_of_band""")
 def final_totals(spark, d):
-    all_ = talks(spark, d, "audit").agg(F.count("*").alias("conversations"), F.count_if(~F.coalesce("audit.accepted", F.lit(False))).alias("not_accepted"))
+    all_ = rows.latest(table(spark, d, "audit_rows").select("id", "ingested_at", "audit")).agg(F.count("*").alias("conversations"), F.count_if(~F.coalesce("audit.accepted", F.lit(False))).alias("not_accepted"))
     kept = _kept(spark, d).agg(F.count("*").alias("kept"), F.count_if(~F.col("in_band")).alias("out_of_band"))
     return all_.crossJoin(kept).select("conversations", "not_accepted", (F.col("conversations") - F.col("not_accepted") - F.col("kept")).alias("repeated"), "out_of_band")
 
@@ -382,8 +384,12 @@ def first_user_and_exchanges(spark, d):
 
 @query(f"WITH {_TURNS} SELECT id, turn, position, len(transcript) AS messages, CAST(list_sum(list_transform(transcript, lambda m: coalesce(length(m.content), 0))) AS BIGINT) AS chars, output_tokens FROM used")
 def turn_transcripts(spark, d):
-    chars = F.aggregate("transcript", F.lit(0).cast("long"), lambda a, m: a + F.coalesce(F.length(m["content"]), F.lit(0)))
-    return _turns(spark, d)[0].select("id", "turn", "position", F.size("transcript").alias("messages"), chars.alias("chars"), "output_tokens")
+    said = rows.turn_array(F.col("messages"), F.col("turn_token_usage"))
+    size = lambda n: F.aggregate(F.slice("sizes", F.lit(1), n), F.lit(0).cast("long"), lambda a, c: a + c)
+    df = table(spark, d, "audit_rows").withColumn("sizes", F.transform("messages", lambda m: F.coalesce(F.length(m["content"]), F.lit(0)))).withColumn("said", said)
+    each = F.transform("said", lambda t: F.struct(t["turn"].alias("turn"), t["position"].alias("position"), (t["position"] + 1).alias("messages"), size(t["position"] + 1).alias("chars"), t["output_tokens"].alias("output_tokens")))
+    df = df.select("id", "ingested_at", each.alias("turns"))
+    return rows.latest(df).select("id", F.explode("turns").alias("t")).select("id", "t.turn", "t.position", "t.messages", "t.chars", "t.output_tokens")
 
 
 @query(f"WITH {_TALKS} SELECT id, coalesce(len(turn_token_usage), 0) > 0 AND len(list_filter(turn_token_usage, lambda u: u.finish_reason IS DISTINCT FROM 'stop')) = 0 AS accepted FROM talks")
@@ -410,7 +416,7 @@ def entropy_by_lane(spark, d):
 @query(f"""WITH {_REQUESTS}, w AS (SELECT {_LANE} AS lane, array_to_string(regexp_extract_all({_fold('instruction')}, '[\\p{{L}}\\p{{N}}_]+')[1:6], ' ') AS prefix FROM requests),
   c AS (SELECT lane, prefix, count(*) AS n FROM w WHERE lane IS NOT NULL GROUP BY ALL) SELECT lane, prefix, n, rn AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY n DESC, prefix) AS rn FROM c) WHERE rn <= 10""")
 def top_prefixes(spark, d):
-    df = requests(spark, d, "language_lane", "instruction").select(lane_of().alias("lane"), T.opening(F.col("instruction")).alias("prefix")).where("lane is not null")
+    df = rows.latest(table(spark, d, "instruction_rows").select("id", "ingested_at", lane_of().alias("lane"), T.opening(F.col("instruction")).alias("prefix"))).where("lane is not null")
     return diversity.top_values(diversity.frequencies(df, ["lane"], F.col("prefix")), ["lane"]).select("lane", F.col("value").alias("prefix"), "n", "rank")
 
 
@@ -430,8 +436,11 @@ def distinct_and_max_reuse(spark, d):
   q AS (SELECT a.lane, a.id AS a, b.id AS b, sum(a.w * b.w) AS similarity FROM u a JOIN u b ON a.lane = b.lane AND a.gram = b.gram AND a.id < b.id GROUP BY ALL)
   SELECT lane, a, b, round(similarity, 6) AS similarity FROM q WHERE similarity >= 0.65""")
 def near_duplicates_tfidf(spark, d):
-    df = requests(spark, d, "language_lane", "instruction").select("id", lane_of().alias("lane"), "instruction").where("lane in ('da', 'en')")
-    sample = diversity.hash_sample(df, ["lane"], "id", "near").drop("sample_rank")
+    # the sample is drawn from the keys; only its texts are fetched
+    df = requests(spark, d, "language_lane").select("id", lane_of().alias("lane"), "ingested_at").where("lane in ('da', 'en')")
+    keys = diversity.hash_sample(df, ["lane"], "id", "near").drop("sample_rank")
+    texts = table(spark, d, "instruction_rows").select("id", "ingested_at", "instruction").join(F.broadcast(keys), ["id", "ingested_at"])
+    sample = durable(texts.groupBy("id", "lane").agg(F.max("instruction").alias("instruction")))
     return diversity.tfidf_pairs(sample, ["lane"], "id", "instruction", 0.65).select("lane", "a", "b", F.round("similarity", 6).alias("similarity"))
 
 
@@ -474,6 +483,60 @@ def json_payload_parse(spark, d):
     return df.select("id", "p.language", F.col("p.count").alias("n"), "p.source")
 
 
+@query(f"""WITH {_TALKS}, t AS (SELECT id, least(max_tokens, {LIMIT}) AS cap, CAST(rendered_token_count AS BIGINT) AS now, CAST(desired_exchanges AS BIGINT) AS rem FROM talks JOIN length_bands USING (length_band) WHERE rendered_token_count IS NOT NULL AND desired_exchanges > 0)
+  SELECT id, CAST(least(512, cap - now - (192 + (rem - 1) * 268), greatest(64, floor((cap - now)::DOUBLE / greatest(1, 3 * rem)))) AS BIGINT) AS user_budget,
+    CAST(least(1024, cap - now - (rem - 1) * 76 - 4, 4096 - now - 4, greatest(192, floor((cap - now - (rem - 1) * 76)::DOUBLE / rem))) AS BIGINT) AS answer_budget FROM t""")
+def turn_budgets(spark, d):
+    df = rows.latest(table(spark, d, "audit_rows").select("id", "ingested_at", "length_band", "rendered_token_count", "desired_exchanges"))
+    df = df.join(F.broadcast(table(spark, d, "length_bands")), "length_band").where("rendered_token_count is not null and desired_exchanges > 0")
+    cap, now, rem = F.least("max_tokens", F.lit(LIMIT)), F.col("rendered_token_count").cast("long"), F.col("desired_exchanges").cast("long")
+    return df.select("id", prompts.user_turn_budget(cap, now, rem, 512).alias("user_budget"), prompts.answer_turn_budget(cap, now, rem - 1, 1024, 4096).alias("answer_budget"))
+
+
+_VERDICT = "'{\"accepted\": ' || CASE WHEN audit.accepted THEN 'true' ELSE 'false' END || ', \"language\": \"' || coalesce(language_lane, '') || '\", \"quality\": ' || coalesce(audit.turns, 0) || ', \"safe\": true}'"
+
+
+@query(f"""WITH {_TALKS}, v AS (SELECT id, {_LANE} AS lane, {_VERDICT} AS j FROM talks WHERE audit IS NOT NULL)
+  SELECT id, coalesce(json_extract_string(j, '$.accepted') = 'true' AND substring(lower(trim(json_extract_string(j, '$.language'))), 1, 2) = lane AND json_extract_string(j, '$.quality')::INTEGER >= 2, false) AS accepted, json_extract_string(j, '$.quality')::INTEGER AS quality FROM v""")
+def json_verdict_parse(spark, d):
+    """Verdicts written as JSON between other text are read back leniently and decided by their conjunction."""
+    df = rows.latest(table(spark, d, "audit_rows").select("id", "ingested_at", "language_lane", "audit")).where("audit is not null")
+    said = F.to_json(F.struct(F.coalesce("audit.accepted", F.lit(False)).alias("accepted"), F.coalesce("language_lane", F.lit("")).alias("language"), F.coalesce("audit.turns", F.lit(0)).alias("quality"), F.lit(True).alias("safe")))
+    text = F.concat(F.lit("Here it is:\n```json\n"), said, F.lit("\n```"))
+    df = df.select("id", "language_lane", F.from_json(T.outer_object(text), "accepted boolean, language string, quality int, safe boolean").alias("v"))
+    ok = validation.all_true(F.col("v.accepted"), F.substring(F.lower(F.trim("v.language")), 1, 2) == lane_of(), F.col("v.quality") >= 2, F.col("v.safe"))
+    return df.select("id", ok.alias("accepted"), F.col("v.quality").alias("quality"))
+
+
+_PAGES = "SELECT id || '.md' AS name, 'See [' || en || '](' || CASE WHEN length(da) % 3 = 0 THEN domain ELSE id END || '.md#top) and [home](https://home.example/x).' AS text FROM topics"
+
+
+@query(f"""WITH pages AS ({_PAGES}), l AS (SELECT name, unnest(regexp_extract_all(text, '\\]\\(([^)#\\s]+)(?:#[^)\\s]*)?\\)', 1)) AS target FROM pages)
+  SELECT name, target FROM l WHERE NOT regexp_matches(target, '^[a-z]+:') AND target NOT IN (SELECT name FROM pages)""")
+def md_links_unresolved(spark, d):
+    """Relative links of pages made from the topics whose target is no page."""
+    target = F.when(F.length("da") % 3 == 0, F.col("domain")).otherwise(F.col("id"))
+    pages = table(spark, d, "topics").select(F.concat("id", F.lit(".md")).alias("name"), F.concat(F.lit("See ["), "en", F.lit("]("), target, F.lit(".md#top) and [home](https://home.example/x).")).alias("text"))
+    return files.unresolved(pages)
+
+
+_REPORT = f"""{_REQUESTS}, n AS (SELECT {_LANE} AS lane, coalesce(diversity.topic_id, '') AS topic, coalesce(diversity.topic_domain, '') AS domain, coalesce(diversity.interaction_mode, '') AS mode, coalesce(diversity.persona_source_id, '') AS persona FROM requests WHERE language_lane IS NOT NULL)"""
+
+
+def _entropy_sql(name: str) -> str:
+    return f"""{name}_h AS (SELECT lane, count(*) AS k, CASE WHEN count(*) > 1 THEN -sum(p * ln(p)) / ln(count(*)) ELSE 0 END AS h FROM (SELECT lane, {name}, count(*) / sum(count(*)) OVER (PARTITION BY lane) AS p FROM n GROUP BY lane, {name}) GROUP BY lane)"""
+
+
+@query(f"""WITH {_REPORT}, {_entropy_sql('topic')}, {_entropy_sql('domain')}, {_entropy_sql('mode')}, p AS (SELECT lane, count(*) AS personas, max(c) AS most_uses FROM (SELECT lane, persona, count(*) AS c FROM n GROUP BY ALL) GROUP BY lane)
+  SELECT p.lane, (SELECT count(*) FROM n WHERE n.lane = p.lane) AS rows, t.k AS topics, round(t.h, 6) AS topic_entropy, o.k AS domains, round(o.h, 6) AS domain_entropy, m.k AS modes, round(m.h, 6) AS mode_entropy, personas, most_uses
+  FROM p JOIN topic_h t USING (lane) JOIN domain_h o USING (lane) JOIN mode_h m USING (lane)""")
+def lane_diversity(spark, d):
+    """The counted part of the lane report."""
+    df = table(spark, d, "instruction_rows").select("id", "ingested_at", lane_of().alias("lane"), "diversity", F.col("instruction").alias("text")).where("lane is not null")
+    report = diversity.lane_report(rows.latest(df.select("id", "ingested_at", "lane", "diversity")).join(df.select("id", "ingested_at", "text"), ["id", "ingested_at"]).dropDuplicates(["id"]))[0]
+    return report.select("lane", "rows", "topics", F.round("topic_entropy", 6).alias("topic_entropy"), "domains", F.round("domain_entropy", 6).alias("domain_entropy"), "modes", F.round("mode_entropy", 6).alias("mode_entropy"), "personas", "most_uses")
+
+
 @query("""SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem GROUP BY ALL""")
 def pricing_summary(spark, d):
     return table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count("*").alias("n"))
@@ -497,9 +560,20 @@ def stream_dedup(spark, d):
     return _streamed(phases.first_seen(_stream(spark, d, "instruction_rows").select("instruction", "ingested_at"), "instruction", "ingested_at", "3650 days").select("digest"))
 
 
+@query("SELECT shard_key, count(*) AS rows FROM instruction_rows GROUP BY shard_key")
+def stream_phase_advance(spark, d):
+    """The shards of a phase folder of JSON lines, handed over as they arrive."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    table(spark, d, "instruction_rows").select("id", "row_index", "shard_key").repartition("shard_key").write.json(f"{folder}/phase")
+    phases.advance(spark, f"{folder}/phase", "id string, row_index int, shard_key string", f"{folder}/state", lambda df, n: df.write.mode("overwrite").parquet(f"{folder}/rows/batch={n}"), shard="shard_key", glob="*.json")
+    return spark.read.parquet(f"{folder}/rows").groupBy("shard_key").agg(F.sum("rows").alias("rows"))
+
+
 @query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS rows FROM events GROUP BY ALL")
 def stream_windows(spark, d):
-    stream = _stream(spark, d, "events").groupBy(F.date_trunc("hour", "ts").alias("hour"), "event_type").agg(F.count("*").alias("rows"))
+    # windows that the watermark has not closed come out as updates; the last of each window counts
+    stream = phases.windows(_stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"])
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    stream.writeStream.outputMode("complete").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{folder}/rows")).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{folder}/rows")
+    batch = lambda df, n: df.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "event_type", "rows", F.lit(n).alias("batch")).write.mode("overwrite").parquet(f"{folder}/rows/run={n}")
+    stream.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").groupBy("hour", "event_type").agg(F.max_by("rows", "batch").alias("rows"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ def build_session(app: str = "strataloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in (defaults | conf).items():
         builder = builder.config(key, value)
@@ -26,11 +28,13 @@ def build_session(app: str = "strataloom", master: str | None = None, **conf: st
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: the one the cluster names in
-    ``spark.checkpoint.dir``. Only a session without that setting (a local test)
-    gets a temporary folder."""
+    ``spark.checkpoint.dir``. Without that setting only a session whose executors
+    all run in the driver's process gets a temporary folder; any other is refused."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", "") or context.getConf().get("spark.checkpoint.dir", "")
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="strataloom-"))
     return context.getCheckpointDir()
 

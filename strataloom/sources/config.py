@@ -80,6 +80,9 @@ class Campaign:
     min_assistant: int = 192
     minimum_quality: int = 4
     max_retries: int = 4
+    audit_requests: bool = True
+    boundary: str = "<|im_end|>"
+    control_tokens: tuple[str, ...] = ("<|im_start|>", "<|im_end|>")
 
     def __post_init__(self) -> None:
         names = [lane.language for lane in self.lanes]

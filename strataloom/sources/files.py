@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +35,25 @@ def split_errors(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFr
     return df.where(F.col(error).isNull()).drop(error), df.where(F.col(error).isNotNull())
 
 
-def write_json(path: str, value: object) -> None:
-    """Publish a small JSON document: a temporary file beside it, flushed, then renamed."""
+def write_json(path: str, value: object, spark: SparkSession | None = None) -> None:
+    """Publish a small JSON document: a temporary file beside it, flushed, then renamed.
+
+    With a session the path may be on any file system that the cluster knows.
+    """
+    if spark is not None:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        target, partial = hadoop.Path(path), hadoop.Path(f"{path}.partial-{uuid.uuid4().hex}")
+        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        stream = fs.create(partial, True)
+        try:
+            stream.write(json.dumps(value, ensure_ascii=False, sort_keys=True, indent=2).encode())
+        finally:
+            stream.close()
+        if fs.exists(target):
+            fs.delete(target, False)
+        if not fs.rename(partial, target):
+            raise OSError(f"could not publish {path}")
+        return
     folder = os.path.dirname(os.path.abspath(path))
     os.makedirs(folder, exist_ok=True)
     handle, name = tempfile.mkstemp(dir=folder, prefix=".partial-")
@@ -72,6 +90,19 @@ def links(pages: DataFrame) -> DataFrame:
     return pages.select("name", F.explode(found).alias("target")).where(~F.col("target").rlike("^[a-z]+:"))
 
 
+def front_matter(pages: DataFrame) -> DataFrame:
+    """``name, key, value`` of the lines between the leading ``---`` lines of pages."""
+    head = F.regexp_extract("text", r"(?s)\A---\n(.*?)\n---(?:\n|\z)", 1)
+    lines = pages.select("name", F.explode(F.split(head, "\n")).alias("line")).where(F.col("line").rlike(r"^[\w-]+\s*:"))
+    return lines.select("name", F.trim(F.split_part("line", F.lit(":"), F.lit(1))).alias("key"), F.trim(F.regexp_replace("line", r"^[^:]*:", "")).alias("value"))
+
+
+def date_headings(pages: DataFrame) -> DataFrame:
+    """``name, day`` of the headings of pages that begin with a date."""
+    days = F.regexp_extract_all("text", F.lit(r"(?m)^#+\s*\[?(\d{4}-\d{2}-\d{2})"), 1)
+    return pages.select("name", F.explode(days).alias("day"))
+
+
 def unresolved(pages: DataFrame) -> DataFrame:
     """Links whose target is no page."""
     names = pages.select(F.col("name").alias("_name"))

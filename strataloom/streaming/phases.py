@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from strataloom.functions import text as T
 
 
-def advance(spark: SparkSession, folder: str, schema: str, checkpoint: str, publish: Callable[[DataFrame, int], None]) -> None:
+def advance(spark: SparkSession, folder: str, schema: str, checkpoint: str, publish: Callable[[DataFrame, int], None], shard: str | None = None, glob: str = "*.jsonl") -> None:
     """Hand the shards that arrived in a phase folder since the last call to ``publish``.
 
-    The checkpoint makes it idempotent: a shard is handed over once per successful batch.
+    A shard is named by its file, or by the column ``shard``. The checkpoint makes
+    it idempotent: a shard is handed over once per successful batch.
     """
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "*.jsonl").json(folder)
-    shards = rows.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.jsonl$", 1).alias("shard_key"))
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", glob).json(folder)
+    shards = rows.select(F.col(shard).alias("shard_key") if shard else F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.jsonl$", 1).alias("shard_key"))
 
     def batch(df: DataFrame, number: int) -> None:
         publish(df.groupBy("shard_key").agg(F.count("*").alias("rows")), number)

@@ -13,10 +13,10 @@ from strataloom.sources.config import Band, Campaign, Lane, Selection
 
 def fake():
     fields = {c.split()[0]: True for c in (generation.INSTRUCTION_VERDICT + ", coherent boolean").split(", ") if c.endswith("boolean")}
-    verdict = json.dumps(fields | {"language": "en", "quality": 5, "user_quality": 5, "assistant_quality": 4})
+    every = fields | {"language": "en", "quality": 5, "instruction_quality": 5, "response_quality": 4, "category": "c", "difficulty": "d", "reason": "r"}
 
     def teach(messages, sampling, seed, schema=None):
-        return {"content": verdict if "Judge" in messages[-1]["content"] else f"A plain sentence about number {seed} that says enough.", "finish_reason": "stop"}
+        return {"content": json.dumps({k: every[k] for k in schema["required"]}) if schema else f"A plain sentence about number {seed} that says enough.", "finish_reason": "stop"}
 
     return teach
 

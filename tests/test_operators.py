@@ -126,13 +126,13 @@ def test_ledger_transitions(spark):
 def fake():
     """A deterministic teacher, local so that workers get it by value."""
     fields = {c.split()[0]: True for c in (generation.INSTRUCTION_VERDICT + ", coherent boolean").split(", ") if c.endswith("boolean")}
-    verdict = json.dumps(fields | {"language": "en", "quality": 5, "user_quality": 5, "assistant_quality": 4})
+    every = fields | {"language": "en", "quality": 5, "instruction_quality": 5, "response_quality": 4, "category": "c", "difficulty": "d", "reason": "r"}
 
     def teach(messages, sampling, seed, schema=None):
         text = messages[-1]["content"]
         if "boom" in text:
             raise OSError("boom")
-        return {"content": verdict if "Judge" in text else f"Answer {seed}.", "finish_reason": "stop"}
+        return {"content": json.dumps({k: every[k] for k in schema["required"]}) if schema else f"Answer {seed}.", "finish_reason": "stop"}
 
     return teach
 

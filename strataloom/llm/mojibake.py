@@ -14,7 +14,7 @@ character that stands alone is a sign: neither makes a text garbled.
 
 Only words with a character beyond ASCII can be in a garbled run, and words
 recur. So a task scores every such word once, and looks for runs in the texts
-alone that hold a word with an improbable pair. The table of pairs goes to all
+alone that hold a word with an improbable pair which a misreading would explain. The table of pairs goes to all
 tasks where it is small; a larger one is joined with blocks of texts instead.
 """
 
@@ -108,14 +108,18 @@ class PairModel:
         self.words: dict[str, bool] = {}
         self.ascii = np.array([self._surprise(np.full(128, a), np.arange(128)) for a in range(128)])
 
-    def improbable(self, words: list[str]) -> None:
-        """Note in ``words`` for each of the words given whether it has a character of more than ``SURPRISE`` bits."""
+    def look_up(self, words: list[str]) -> None:
+        """Note in ``words`` for each of the words given whether it may be garbled: it has a character of more than
+        ``SURPRISE`` bits, and is shorter to describe without a misreading or has lost a character."""
         new = list(set(words).difference(self.words))
         if new:
             flat = code_points(" " + " ".join(new) + " ")
             flat[flat <= 32] = 32
             starts = np.cumsum([0, *(len(w) + 1 for w in new[:-1])])
-            self.words.update(zip(new, (np.maximum.reduceat(self.surprise(flat), starts) > SURPRISE).tolist()))
+            self.words.update(dict.fromkeys(new, False))
+            for at in np.flatnonzero(np.maximum.reduceat(self.surprise(flat), starts) > SURPRISE).tolist():
+                word = new[at]
+                self.words[word] = bool(_LOST.search(word)) or any(self.bits(word) - self.bits(back) > 1 for back in _undone(word, self).values())
 
     def _surprise(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         out = np.full(len(a), self.unseen)
@@ -345,7 +349,7 @@ def repairs(batch: pd.DataFrame, model: PairModel) -> pd.DataFrame:
     if len(model.words) > 500_000:  # bounds the memory, never changes a result
         model.words.clear()
     words = [[w for w in _BREAK.sub(" ", t).split(" ") if not w.isascii()] for t in batch["text"]]
-    model.improbable([w for some in words for w in some])
+    model.look_up([w for some in words for w in some])
     known, rows = model.words, []
     for k, t, some in zip(batch["key"], batch["text"], words):
         if any(map(known.__getitem__, some)):

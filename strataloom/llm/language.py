@@ -3,7 +3,8 @@
 Method: prediction by partial matching (``ppm``). The trees are counted on the
 trusted ``language_samples`` only, a table that does not grow. A text is cut
 into sentences; quoted spans and fenced code take no part, so a quoted phrase
-never makes a text multilingual. The languages of the sentences are the path
+never makes a text multilingual, but for a line that is nothing but a quotation of
+several sentences. The languages of the sentences are the path
 with the shortest total code, where every change of language costs
 ``SWITCH_BITS``. A segment is a longest run of sentences in one language.
 """
@@ -33,7 +34,7 @@ FULL_SENTENCES = 2
 LEAST_LETTERS = 6
 
 _CODE = re.compile(r"```.*?(?:```|\Z)|`[^`\n]*`", re.S)
-_QUOTED = re.compile(r"“[^”\n]{0,400}”|«[^»\n]{0,400}»|„[^“”\n]{0,400}[“”]|\"[^\"\n]{0,400}\"|‘[^’\n]{0,400}’")
+_QUOTED = re.compile(r"“[^”\n]*”|«[^»\n]*»|„[^“”\n]*[“”]|\"[^\"\n]*\"|‘[^’\n]*’")
 _END = re.compile(r"[.!?…\n][\"'”’»)\]\s]*")
 
 BRIEF = "language string, confidence double, languages array<string>"
@@ -56,12 +57,19 @@ def _blank(match: re.Match) -> str:
     return " " * len(match[0])
 
 
+def _phrase(match: re.Match) -> str:
+    """Blanks for a quoted phrase; a line that is all one quotation of several sentences is no phrase."""
+    text, (start, end) = match.string, match.span()
+    alone = not text[text.rfind("\n", 0, start) + 1 : start].strip() and not text[end : end + 1 + (text + "\n").find("\n", end) - end].strip()
+    return match[0] if alone and len(_END.findall(match[0][:-1])) >= FULL_SENTENCES else " " * len(match[0])
+
+
 def unquoted(text: str) -> str:
-    """A text with blanks in place of fenced code and quoted spans, of the same length."""
+    """A text with blanks in place of fenced code and quoted phrases, of the same length."""
     if "`" in text:
         text = _CODE.sub(_blank, text)
     if any(mark in text for mark in "“«„\"‘"):
-        text = _QUOTED.sub(_blank, text)
+        text = _QUOTED.sub(_phrase, text)
     return text
 
 

@@ -194,8 +194,8 @@ def _fingerprint(high: int, low: int, extra: int) -> int:
     return ((high & (2**64 - 1)) << 64 | low & (2**64 - 1)) << 32 | extra & (2**32 - 1)
 
 
-def full_bands(members: DataFrame, classes: int, shard: int) -> DataFrame:
-    """``band, n`` of the bands with more than ``shard`` members.
+def full_bands(members: DataFrame, classes: int, shard: int) -> DataFrame | None:
+    """``band, n`` of the bands with more than ``shard`` members; null where there is none.
 
     Bands are first counted by a hash with so many places that one has less than
     half a shard on average, which takes no more than a few rows of a task; only the
@@ -203,8 +203,11 @@ def full_bands(members: DataFrame, classes: int, shard: int) -> DataFrame:
     """
     places = max(1024, 1 << (2 * BANDS * classes // shard).bit_length())
     place = F.pmod(F.xxhash64("band"), F.lit(places))
-    full = members.groupBy(place.alias("place")).agg(F.count("*").alias("n")).where(F.col("n") > shard).select("place")
-    return members.withColumn("place", place).join(full, "place", "left_semi").groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > shard)
+    full = durable(members.groupBy(place.alias("place")).agg(F.count("*").alias("n")).where(F.col("n") > shard).select("place"))
+    if full.isEmpty():  # no member needs to move
+        return None
+    found = durable(only_keys(members.withColumn("place", place), full, ["place"]).join(full, "place", "left_semi").groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > shard))
+    return None if found.isEmpty() else found
 
 
 def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> DataFrame:
@@ -220,10 +223,9 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
     members = classes.select("cid", "bits_hi", "bits_lo", "bits_ex", "tails", F.posexplode("bands").alias("of", "band"))
     band = F.shiftleft(F.col("of").cast("long"), 48).bitwiseOR(F.shiftleft(F.col("band").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)), 16)).bitwiseOR(F.get("tails", "of").cast("long").bitwiseAND(F.lit(0xFFFF)))
     members = members.select("cid", "bits_hi", "bits_lo", "bits_ex", band.alias("band"))
-    full = durable(full_bands(members.select("band"), classes.count(), shard))
-    hot = not full.isEmpty()
+    full = full_bands(members.select("band"), classes.count(), shard)
     # the bands of one class have nothing to find; what is left of a band lies together and in order
-    small = members.join(full, "band", "left_anti") if hot else members
+    small = members.join(full, "band", "left_anti") if full is not None else members
     small = small.withColumn("among", F.count("*").over(spec)).where("among > 1").select("band", "cid", "bits_hi", "bits_lo", "bits_ex").sortWithinPartitions("band", "cid")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,7 +243,7 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
             yield pd.DataFrame({"a": np.array(left, np.int64), "b": np.array(right, np.int64)})
 
     found = small.mapInPandas(search, "a long, b long").distinct()
-    if not hot:
+    if full is None:
         return found
 
     def block_pair(part: pd.DataFrame) -> pd.DataFrame:

@@ -4,19 +4,22 @@ Method: a text longer than ``CHUNK`` characters is cut only where the tokenizer
 provably sees a boundary, its chunks are spread over the workers by a salt,
 counted exactly, summed per text, and then rolled up. The tokenizer splits a
 text by its pattern before any merge, and no alternative of the pattern takes a
-blank after another character, nor a letter beside a digit. A cut before a blank
-or a line break that follows a letter or digit, or between a letter and a
-digit, therefore changes no token.
+blank after another character, nor a letter beside a digit, nor a mark beside
+either but for an apostrophe before a letter. A cut after a letter or digit and
+before a blank, a line break or a mark, or between a letter and a digit,
+therefore changes no token. A single run of letters has no such place: it is one
+piece to the tokenizer too.
 """
 
 from __future__ import annotations
 
 import base64
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The vocabulary: a public byte-level BPE for many languages.
@@ -27,6 +30,11 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 CHUNK = 20_000
 
 
+def vocabulary(spark: SparkSession) -> str:
+    """The path of the vocabulary on every worker: the setting ``spark.strataloom.vocabulary``, or the public default."""
+    return spark.conf.get("spark.strataloom.vocabulary", "") or spark.sparkContext.getConf().get("spark.strataloom.vocabulary", "") or VOCABULARY
+
+
 @lru_cache(maxsize=4)
 def encoding(path: str):
     """The tokenizer of a vocabulary file, once per worker."""
@@ -48,7 +56,7 @@ def independent_chunks(text: str, size: int = CHUNK) -> list[str]:
     chunks, start, at = [], 0, size
     while at < len(text):
         before, after = text[at - 1], text[at]
-        if (before.isalnum() and before.isprintable() and after in " \n") or (before.isascii() and after.isascii() and (before.isalpha() and after.isdigit() or before.isdigit() and after.isalpha())):
+        if (before.isalnum() and before.isprintable() and (after in " \n" or unicodedata.category(after)[0] in "PS")) or (before.isascii() and after.isascii() and (before.isalpha() and after.isdigit() or before.isdigit() and after.isalpha())):
             chunks.append(text[start:at])
             start = at
             at += size
@@ -67,12 +75,13 @@ def _counter(path: str):
     return count
 
 
-def token_counts(df: DataFrame, keys: list[str], text: str, path: str = VOCABULARY, chunk: int = CHUNK, salts: int = 64) -> DataFrame:
+def token_counts(df: DataFrame, keys: list[str], text: str, path: str | None = None, chunk: int = CHUNK, salts: int = 64) -> DataFrame:
     """``keys`` and ``tokens``: a row for every row of ``df``.
 
     Null and empty texts have 0 tokens. Only the chunks of long texts are
     shuffled. Rows with equal keys keep a row each; an empty table gives none.
     """
+    path = path or vocabulary(df.sparkSession)
     picked = df.select(*keys, F.col(f"`{text}`").cast("string").alias("_text"))
     long = F.coalesce(F.length("_text"), F.lit(0)) > chunk
     short = picked.where(~long).select(*keys, _counter(path)("_text").alias("tokens"))

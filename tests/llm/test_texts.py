@@ -67,6 +67,14 @@ def test_languages_of_edge_texts():
     assert [s[2] for s in segments] == ["en", "da"] and mixed[segments[1][0] : segments[1][1]].startswith("Kassereren")
 
 
+def test_a_quoted_paragraph_is_text():
+    """A line that is one quotation of several sentences, of any length, has its language; a phrase of any length has not."""
+    coder = ppm.LanguageCoder(SAMPLES)
+    phrase = EN[0] + " The sign said “" + " ".join(DE * 9) + "” in large letters. " + EN[1]
+    got = language.label_texts([EN[0] + "\n\n“" + DE[0] + "”", EN[0] + "\n\n\"" + DE[0] + "\"\n\n" + EN[1], phrase, EN[0] + "\n“Bitte vergleichen Sie beide Angebote.”\n" + EN[1]], coder)
+    assert [g[2] for g in got] == [["de", "en"], ["de", "en"], ["en"], ["en"]]
+
+
 def test_cases_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, EN[1], "en-GB", "x"), (2, DA[1], "en", "x"), (3, DE[1], None, "x"), (4, None, None, "x")], "id int, text string, lang string, detected string")
     got = language.detect(df, "text", SAMPLES)

@@ -114,41 +114,52 @@ def label_texts(texts: list[str | None], coder: LanguageCoder) -> list[tuple]:
     code comes first.
     """
     parts: list[list[str]] = []
-    where: list[tuple[int, list[tuple[int, int]]]] = []
+    spans: list[tuple[int, int]] = []
+    sizes = []
     for text in texts:
-        spans = []
+        before = len(parts)
         if text:
             plain = unquoted(text)
-            for start, end in spans_of(plain):
-                found = words(plain[start:end])
+            for span in spans_of(plain):
+                found = words(plain[slice(*span)])
                 if found:
                     parts.append(found)
-                    spans.append((start, end))
-        where.append((len(parts) - len(spans), spans))
+                    spans.append(span)
+        sizes.append(len(parts) - before)
+    out: list[tuple] = [(None, 0.0, [], [])] * len(texts)
     costs, letters = coder.costs(parts)
-    least = costs.min(axis=1) if len(parts) else None
-    out = []
-    for first, spans in where:
-        n = len(spans)
-        own = costs[first : first + n]
-        total = own.sum(axis=0)
-        if not n or letters[first : first + n].sum() < LEAST_LETTERS:
-            out.append((None, 0.0, [], []))
+    some = np.flatnonzero(sizes)
+    if not len(some):
+        return out
+    ends = np.cumsum(sizes)[some]
+    starts = ends - np.array(sizes)[some]
+    totals = np.add.reduceat(costs, starts, axis=0)
+    mains = totals.argmin(axis=1)
+    own = totals[np.arange(len(some)), mains]
+    sure = 1 / np.exp2(-np.clip(totals - own[:, None], -60, 200)).sum(axis=1)
+    # no change of language can pay where all that there is to gain is less than one change costs
+    gain = own - np.add.reduceat(costs.min(axis=1), starts)
+    long = np.add.reduceat(letters, starts) >= LEAST_LETTERS
+    for at, first, end, main, confidence, more, enough in zip(*(v.tolist() for v in (some, starts, ends, mains, sure, gain, long))):
+        if not enough:
             continue
-        main = int(total.argmin())
-        # no change of language can pay where all that there is to gain is less than one change costs
-        path = [main] * n if n == 1 or (own[:, main] - least[first : first + n]).sum() <= SWITCH_BITS else shortest_path(own)
+        main_language = coder.languages[main]
+        if end - first == 1 or more <= SWITCH_BITS:
+            out[at] = (main_language, confidence, [main_language], [(spans[first][0], spans[end - 1][1], main_language, confidence)])
+            continue
+        mine = costs[first:end]
+        path = shortest_path(mine)
         full: dict[int, int] = {}
-        for i, at in enumerate(path):
+        for i, language in enumerate(path):
             if len(parts[first + i]) >= FULL_WORDS:
-                full[at] = full.get(at, 0) + 1
-        several = sorted(at for at, k in full.items() if k >= FULL_SENTENCES)
+                full[language] = full.get(language, 0) + 1
+        several = sorted(language for language, k in full.items() if k >= FULL_SENTENCES)
         segments, start = [], 0
-        for i in range(1, n + 1):
-            if i == n or path[i] != path[start]:
-                segments.append((spans[start][0], spans[i - 1][1], coder.languages[path[start]], _sure(own[start:i].sum(axis=0), path[start])))
+        for i in range(1, len(path) + 1):
+            if i == len(path) or path[i] != path[start]:
+                segments.append((spans[first + start][0], spans[first + i - 1][1], coder.languages[path[start]], _sure(mine[start:i].sum(axis=0), path[start])))
                 start = i
-        out.append((coder.languages[main], _sure(total, main), [coder.languages[at] for at in (several if len(several) > 1 else [main])], segments))
+        out[at] = (main_language, confidence, [coder.languages[language] for language in (several if len(several) > 1 else [main])], segments)
     return out
 
 

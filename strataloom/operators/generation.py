@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strataloom.functions import text as T
 from strataloom.operators import prompts, validation
+from strataloom.operators import rows as rows_
 
 #: The fields of a request verdict and of a turn verdict, all required and no others allowed.
 INSTRUCTION_VERDICT = (
@@ -272,3 +273,41 @@ def personas(raw: DataFrame, noun: str = "the person", limit: int = 500) -> Data
         F.col("uuid").alias("source_id"), T.age_band(F.coalesce(F.col("age").cast("string"), F.lit(""))).alias("age_band"), clean("occupation").alias("occupation"), clean("education_level").alias("education"),
         T.without_name(F.coalesce(F.nullif(clean("hobbies_and_interests"), F.lit("")), clean("skills_and_expertise")), F.coalesce("name", F.lit("")), noun).alias("interests"),
     )
+
+
+def persona_store(raw: DataFrame, noun: str = "the person") -> DataFrame:
+    """``language, position, source_id, payload`` of personas (G14, P3): positions from 0 in the order of their ids within a language.
+
+    ``raw`` has language, source, uuid, name, age and the free fields of a source;
+    lists are taken before plain texts where they hold something. Names, places
+    and sex never get into a payload. Occupation and education keep 160 characters,
+    the others 500.
+    """
+    def text(c: str, most: int = 500) -> Column:
+        value = F.col(c).cast("string") if c in raw.columns else F.lit(None).cast("string")
+        return F.left(F.regexp_replace(T.stripped(F.coalesce(value, F.lit(""))), rf"{T.BLANK}+", " "), F.lit(most))
+
+    def listed(c: str) -> Column:
+        return F.left(F.coalesce(F.nullif(F.array_join(F.col(f"{c}_list"), ", "), F.lit("")), text(c)), F.lit(500)) if f"{c}_list" in raw.columns else text(c)
+
+    name = F.coalesce("name", F.lit(""))
+    interests = T.without_name(F.coalesce(F.nullif(listed("hobbies_and_interests"), F.lit("")), listed("skills_and_expertise")), name, noun)
+    fields = F.struct(
+        F.col("source"), T.age_band(F.coalesce(F.col("age").cast("string"), F.lit(""))).alias("age_band"), T.without_name(text("occupation", 160), name, noun).alias("occupation"),
+        text("education_level", 160).alias("education"), interests.alias("interests"), F.when(F.col("language") == "da", F.lit("")).otherwise(T.without_name(text("profile"), name, noun)).alias("profile"),
+    )
+    rows = raw.select("language", F.col("uuid").alias("source_id"), F.to_json(fields).alias("payload"))
+    return rows_.numbered(rows, ["language"], ["source_id"]).select("language", "position", "source_id", "payload")
+
+
+def write_persona_store(spark, store: DataFrame, path: str) -> DataFrame:
+    """Write a store by language and give its totals (S11, A25): ids are unique and positions run from 0 without a gap, or it is refused."""
+    from strataloom.sources.files import write_table
+
+    write_table(store, path, partition_by=["language"])
+    written = spark.read.parquet(path)
+    totals = written.groupBy("language").agg(F.count("*").alias("rows"), F.count_distinct("source_id").alias("ids"), F.count_distinct("position").alias("positions"), F.min("position").alias("first"), F.max("position").alias("last"))
+    wrong = totals.where("ids <> rows or positions <> rows or first <> 0 or last <> rows - 1")
+    if not wrong.isEmpty():
+        raise ValueError(f"the persona store is not sound: {[r.asDict() for r in wrong.limit(5).collect()]}")
+    return totals.select("language", "rows")

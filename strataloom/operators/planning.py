@@ -77,16 +77,19 @@ def assigner(topics: DataFrame, modes: DataFrame, people: int, seed: int, langua
     return *out, seed % people, step
 
 
-def assign(rows: DataFrame, index: Column, topics: DataFrame, modes: DataFrame, personas: DataFrame, n_topics: int, n_modes: int, n_personas: int, offset: int, step: int) -> DataFrame:
+def assign(rows: DataFrame, index: Column, topics: DataFrame, modes: DataFrame, personas: DataFrame, n_topics: int, n_modes: int, n_personas: int | Column, offset: int, step: int | Column, language: str | None = None) -> DataFrame:
     """Rows with topic, mode and persona by modular positions.
 
     ``topics`` and ``modes`` are catalogues with a ``position``; personas are
-    joined by position and never collected. Every topic comes before one
+    joined by position, and by ``language`` where that column is given, and never
+    collected; their number and step may be columns then. Every topic comes before one
     repeats, every mode comes with every topic, and personas repeat last.
     """
     at = rows.withColumn("_i", index.cast("long"))
-    at = at.withColumn("_topic", F.pmod("_i", F.lit(n_topics))).withColumn("_mode", F.pmod(F.col("_i") + F.floor(F.col("_i") / n_topics), F.lit(n_modes))).withColumn("_persona", F.pmod(F.lit(offset) + F.col("_i") * step, F.lit(n_personas)))
+    people, by = n_personas if isinstance(n_personas, Column) else F.lit(n_personas), step if isinstance(step, Column) else F.lit(step)
+    at = at.withColumn("_topic", F.pmod("_i", F.lit(n_topics))).withColumn("_mode", F.pmod(F.col("_i") + F.floor(F.col("_i") / n_topics), F.lit(n_modes))).withColumn("_persona", F.pmod(F.lit(offset) + F.col("_i") * by, people))
     topic = F.broadcast(topics.select(F.col("position").alias("_topic"), F.col("id").alias("topic_id"), F.col("domain").alias("topic_domain")))
     mode = F.broadcast(modes.select(F.col("position").alias("_mode"), F.col("id").alias("interaction_mode")))
-    persona = personas.select(F.col("position").cast("long").alias("_persona"), F.col("source_id").alias("persona_source_id"))
-    return at.join(topic, "_topic", "left").join(mode, "_mode", "left").join(persona, "_persona", "left").drop("_i", "_topic", "_mode", "_persona")
+    keys = ["_persona", language] if language else ["_persona"]
+    persona = personas.select(F.col("position").cast("long").alias("_persona"), F.col("source_id").alias("persona_source_id"), *([F.col("language").alias(language)] if language else []))
+    return at.join(topic, "_topic", "left").join(mode, "_mode", "left").join(persona, keys, "left").drop("_i", "_topic", "_mode", "_persona")

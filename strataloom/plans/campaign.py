@@ -12,6 +12,7 @@ repeated one replaces nothing but its own.
 from __future__ import annotations
 
 import random
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -22,6 +23,7 @@ from strataloom.operators import diversity, finalize, generation, ledger, planni
 from strataloom.session import durable
 from strataloom.sources.config import Campaign, load
 from strataloom.sources.files import split_errors, write_json, write_table
+from strataloom.streaming import phases
 
 
 class CampaignRun:
@@ -360,6 +362,24 @@ class CampaignRun:
             diversity.gate({"topics": line.topics, "modes": line.modes, "topic_entropy": line.topic_entropy, "mode_entropy": line.mode_entropy, "near_rows": line.near_rows_65})
         return report
 
+    def wait_for_gate(self, fraction: float = 0.01, phase: str = "instruction", poll: float = 60.0, polls: int | None = None) -> DataFrame:
+        """Wait until every lane has its ``fraction`` of rows, then check the gate and give the report.
+
+        Raises ``TimeoutError`` after ``polls`` looks without success.
+        """
+        targets, looks = {lane.language: lane.accepted_target for lane in self.config.lanes}, 0
+        while not phases.thresholds_reached(self.table(phase).groupBy(F.col("language_lane").alias("language")).agg(F.count("*").alias("rows")), targets, fraction):
+            looks += 1
+            if polls is not None and looks >= polls:
+                raise TimeoutError(f"{phase} has too few rows")
+            time.sleep(poll)
+        return self.assert_gate(phase)
+
+    def resume(self, phase: str) -> int:
+        """Release what the gate held of a phase and run it."""
+        self.release_held(phase)
+        return self.run(phase)
+
     def run_all(self, out: str) -> DataFrame:
         """Plan, run all phases and finalise."""
         write_json(f"{self.root}/config.json", {"config_hash": self.config.receipt()}, self.spark)

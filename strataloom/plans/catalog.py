@@ -445,18 +445,19 @@ def near_duplicates_tfidf(spark, d):
 
 
 @query(f"""WITH {_REQUESTS}, t AS (SELECT id AS topic_id, domain AS topic_domain, row_number() OVER (ORDER BY domain, id) - 1 AS p FROM topics), m AS (SELECT id AS interaction_mode, row_number() OVER (ORDER BY id) - 1 AS p FROM interaction_modes),
-  s AS (SELECT source_id AS persona_source_id, position AS p FROM personas WHERE language = 'da'),
-  k AS (SELECT (SELECT count(*) FROM t) AS nt, (SELECT count(*) FROM m) AS nm, (SELECT count(*) FROM s) AS np),
-  i AS (SELECT r.id, split_part(shard_key, '-', 4)::BIGINT * 64 + row_index AS i FROM requests r)
-  SELECT i.id, topic_id, topic_domain, interaction_mode, persona_source_id FROM i, k LEFT JOIN t ON i.i % nt = t.p LEFT JOIN m ON (i.i + i.i // nt) % nm = m.p LEFT JOIN s ON (17 + i.i * 101) % np = s.p""")
+  s AS (SELECT language, source_id AS persona_source_id, position AS p FROM personas), ns AS (SELECT language, count(*) AS np FROM s GROUP BY language),
+  k AS (SELECT (SELECT count(*) FROM t) AS nt, (SELECT count(*) FROM m) AS nm),
+  i AS (SELECT r.id, substring(lower(trim(language_lane)), 1, 2) AS lane, split_part(shard_key, '-', 4)::BIGINT * 64 + row_index AS i FROM requests r)
+  SELECT i.id, topic_id, topic_domain, interaction_mode, persona_source_id FROM i, k LEFT JOIN t ON i.i % nt = t.p LEFT JOIN m ON (i.i + i.i // nt) % nm = m.p LEFT JOIN ns ON i.lane = ns.language LEFT JOIN s ON s.language = i.lane AND (17 + i.i * 101) % np = s.p""")
 def assign_topic_mode_persona(spark, d):
     topics = rows.numbered(table(spark, d, "topics").withColumn("_g", F.lit(0)), ["_g"], ["domain", "id"])
     modes = rows.numbered(table(spark, d, "interaction_modes").withColumn("_g", F.lit(0)), ["_g"], ["id"])
-    personas = table(spark, d, "personas").where("language = 'da'")
-    n = personas.count()
-    df = requests(spark, d, "shard_key", "row_index")
+    personas = table(spark, d, "personas")
+    sizes = [(r["language"], r["count"], planning.stride(r["count"], 101)) for r in personas.groupBy("language").count().collect()]  # a line a language
+    sizes = spark.createDataFrame(sizes, "lane string, people long, step long")
+    df = requests(spark, d, "shard_key", "row_index", "language_lane").withColumn("lane", lane_of()).join(F.broadcast(sizes), "lane", "left")
     index = F.split("shard_key", "-", 4)[3].cast("long") * 64 + F.col("row_index")
-    out = planning.assign(df, index, topics, modes, personas, topics.count(), modes.count(), n, 17, planning.stride(n, 101))
+    out = planning.assign(df, index, topics, modes, personas, topics.count(), modes.count(), F.col("people"), 17, F.col("step"), "lane")
     return out.select("id", "topic_id", "topic_domain", "interaction_mode", "persona_source_id")
 
 

@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import count
+from threading import BoundedSemaphore
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,38 +23,61 @@ from pyspark.sql import functions as F
 
 @dataclass
 class HttpTeacher:
-    """Chat completions over HTTP: end points in turn, and retries with a back-off of at most 30 seconds."""
+    """Chat completions over HTTP: end points in turn, at most ``concurrency`` calls at once to each from one worker,
+    and retries with a back-off of at most 30 seconds."""
 
     urls: list[str]
     model: str
     key: str = ""
     timeout: float = 600.0
     retries: int = 4
+    concurrency: int = 448
     turn: count = field(default_factory=count, repr=False)
+    gates: list = field(default_factory=list, repr=False)
+
+    def __post_init__(self) -> None:
+        if not self.urls or self.concurrency < 1:
+            raise ValueError("a teacher needs an end point and room for a call")
+        self.gates = [BoundedSemaphore(self.concurrency) for _ in self.urls]
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "turn"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("turn", "gates")}
 
     def __setstate__(self, state: dict) -> None:
-        self.__dict__ |= state | {"turn": count()}
+        self.__dict__ |= state | {"turn": count(), "gates": [BoundedSemaphore(state["concurrency"]) for _ in state["urls"]]}
 
-    def __call__(self, messages: list[dict], sampling: dict, seed: int, schema: dict | None = None) -> dict:
-        body = {"model": self.model, "messages": messages, "seed": seed, **sampling}
-        if schema:
-            body["response_format"] = {"type": "json_schema", "json_schema": {"name": "verdict", "strict": True, "schema": schema}}
+    def _post(self, path: str, body: dict) -> dict:
         for attempt in range(self.retries + 1):
-            url = self.urls[next(self.turn) % len(self.urls)].rstrip("/") + "/chat/completions"
-            request = urllib.request.Request(url, json.dumps(body).encode(), {"Content-Type": "application/json", **({"Authorization": f"Bearer {self.key}"} if self.key else {})})
+            at = next(self.turn) % len(self.urls)
+            request = urllib.request.Request(self.urls[at].rstrip("/") + path, json.dumps(body).encode(), {"Content-Type": "application/json", **({"Authorization": f"Bearer {self.key}"} if self.key else {})})
             try:
-                with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-                    choice = json.load(answer)["choices"][0]
-                return {"content": choice["message"]["content"], "finish_reason": choice.get("finish_reason")}
+                with self.gates[at], urllib.request.urlopen(request, timeout=self.timeout) as answer:
+                    return json.load(answer)["choices"][0]
             except OSError:
                 if attempt == self.retries:
                     raise
                 time.sleep(min(30.0, 2.0**attempt))
         raise AssertionError("unreachable")
 
+    def __call__(self, messages: list[dict], sampling: dict, seed: int, schema: dict | None = None) -> dict:
+        body = {"model": self.model, "messages": messages, "seed": seed, **sampling}
+        if schema:
+            body["response_format"] = {"type": "json_schema", "json_schema": {"name": "verdict", "strict": True, "schema": schema}}
+        choice = self._post("/chat/completions", body)
+        return {"content": choice["message"]["content"], "finish_reason": choice.get("finish_reason")}
+
+    def chat(self, messages: list[dict], sampling: dict, seed: int) -> str:
+        """The text of an answer."""
+        return self(messages, sampling, seed)["content"]
+
+    def completion(self, prompt: str, sampling: dict, seed: int, stop: list[str] | None = None) -> str:
+        """The text that continues a prompt."""
+        return self._post("/completions", {"model": self.model, "prompt": prompt, "seed": seed, **({"stop": stop} if stop else {}), **sampling})["text"]
+
+    def verdict(self, messages: list[dict], sampling: dict, seed: int, schema: dict) -> dict:
+        """The object of a structured answer (S14d)."""
+        return verdict_of(self(messages, sampling, seed, schema))
+
 
 def verdict_of(result: dict) -> dict:
     """The JSON object of a structured call; it must have stopped by itself."""

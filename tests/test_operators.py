@@ -7,7 +7,7 @@ import pytest
 from conftest import found
 from pyspark.sql import functions as F
 
-from strataloom.operators import diversity, finalize, generation, ledger, planning, rows, selection
+from strataloom.operators import diversity, finalize, generation, ledger, planning, rows, selection, validation
 from strataloom.sources import config, files, teacher
 from strataloom.streaming import phases
 
@@ -160,6 +160,142 @@ def test_conversations_keep_their_budget(spark):
     assert got["b"].messages is None and "boom" in got["b"].error
 
 
+def test_verdicts_are_strict():
+    for verdict, n in ((generation.INSTRUCTION_VERDICT, 12), (generation.TURN_VERDICT, 9)):
+        schema = generation.verdict_schema(verdict, ["da", "en"])
+        assert len(schema["required"]) == n and schema["additionalProperties"] is False and schema["properties"]["language"]["enum"] == ["da", "en"]
+        sample = {k: {"boolean": True, "int": 4, "string": "x"}[v] for k, v in generation.fields_of(verdict).items()}
+        result = lambda value: {"content": json.dumps(value), "finish_reason": "stop"}
+        assert generation.checked_verdict(result(sample), verdict) == sample
+        for wrong in (sample | {"more": 1}, {k: v for k, v in sample.items() if k != "safe"}, sample | {"safe": "yes"}, sample | {next(k for k, v in sample.items() if v == 4): True}):
+            with pytest.raises(ValueError):
+                generation.checked_verdict(result(wrong), verdict)
+
+
+def test_turn_budgets_in_rows_and_columns(spark):
+    from strataloom.operators import prompts
+
+    rows = [(cap, now, rem) for cap in (200, 1023, 3968) for now in (0, 150, 900) for rem in (1, 2, 5)]
+    df = spark.createDataFrame(rows, "cap long, now long, rem long")
+    got = df.select("*", prompts.user_turn_budget(F.col("cap"), F.col("now"), F.col("rem"), 512).alias("u"), prompts.answer_turn_budget(F.col("cap"), F.col("now"), F.col("rem") - 1, 1024, 4096).alias("a")).collect()
+    for r in got:
+        assert r.u == generation.user_turn_budget(r.cap, r.now, r.rem, 512) and r.a == generation.answer_turn_budget(r.cap, r.now, r.rem - 1, 1024, 4096)
+    assert generation.user_turn_budget(3968, 968, 2, 512) == 500 and generation.answer_turn_budget(3968, 100, 0, 1024, 4096) == 1024 and generation.answer_turn_budget(500, 100, 1, 1024, 4096) == 192
+
+
+def test_completions_in_rows_and_columns(spark):
+    texts = ["Done.", "and then the", "```x", "", None, "  ", "**Bold.**", "no end", "Ends with og", "list)"]
+    df = spark.createDataFrame([(i, t, f) for i, t in enumerate(texts) for f in ("stop", "length", None)], "i int, t string, f string")
+    for r in df.withColumn("why", validation.completion_reason(F.col("t"), F.col("f"))).collect():
+        assert (generation.completion_fault(r.t, r.f) or "complete") == r.why, r
+
+
+@pytest.mark.parametrize(("seed", "people", "offset", "step"), [(17, 7, 3, 5), (110032, 5000, 32, 67), (110032, 1_000_000, 110032, 220067)])
+def test_assigner(spark, seed, people, offset, step):
+    topics = spark.createDataFrame([("d", f"t{i}") for i in range(6)], "domain string, id string")
+    modes = spark.createDataFrame([(f"m{i}",) for i in range(4)], "id string")
+    got = planning.assigner(topics, modes, people, seed, "da")
+    assert got[2:] == (offset, step) and sorted(r.position for r in got[0].collect()) == list(range(6))
+    assert [r.id for r in got[0].orderBy("position").collect()] == [r.id for r in planning.assigner(topics, modes, people, seed, "da")[0].orderBy("position").collect()]
+    with pytest.raises(ValueError):
+        planning.assigner(topics, modes, 0, seed, "da")
+
+
+def test_latest_and_first_with_nulls_and_ties(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", 5, 3), ("b", None, 4), ("c", None, 5), ("c", None, 6)], "id string, ingested_at int, v int")
+    for parts in (1, 3):
+        got = {r.id: r.v for r in rows.latest(df.repartition(parts)).collect()}
+        assert got["b"] == 4 and got["a"] == {r.id: r.v for r in rows.latest(df).collect()}["a"] in (2, 3) and len(got) == 3
+    rows_ = spark.createDataFrame([(1, "x", None), (2, "x", 3), (3, "y", None), (4, None, 1), (5, "x", 3)], "id int, digest string, at int")
+    assert found(rows.keep_first(rows_, F.col("digest"), ["at", "id"]), "id") == {2, 3, 4}
+
+
+def test_a_cluster_needs_its_shared_folder():
+    from types import SimpleNamespace
+
+    from strataloom.session import shared_folder
+
+    for master, fails in (("spark://host:7077", True), ("local-cluster[2,1,1024]", True), ("yarn", True), ("local[4]", False), ("local", False)):
+        at = []
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: at[-1] if at else None, setCheckpointDir=at.append, getConf=lambda: {})
+        spark = SimpleNamespace(sparkContext=context, conf={})
+        if fails:
+            with pytest.raises(RuntimeError):
+                shared_folder(spark)
+        else:
+            assert shared_folder(spark) == at[-1]
+
+
+def test_reports_from_flags_are_those_of_frames(spark):
+    cells = [("da", "general", "short"), ("da", "expert", "short"), ("en", "general", "short")]
+    quotas = spark.createDataFrame([(*cells[0], 5), (*cells[1], 40), (*cells[2], 0)], "language string, complexity string, band string, quota long")
+    rows_ = spark.createDataFrame([(f"r{i}", *cells[i % 3], i) for i in range(90)] + [("z", "sv", "general", "short", 1)], "id string, language string, complexity string, band string, tokens long")
+    cell = ["language", "complexity", "band"]
+    for bits in (4, 12):
+        marked = finalize.flagged(rows_, cell, quotas, bits=bits)
+        assert found(marked.where("chosen"), "id") == found(finalize.top_of_cells(rows_, cell, quotas, bits=bits), "id")
+        assert found(finalize.flagged_report(marked, quotas), "complexity", "available", "rows", "tokens") == found(finalize.cell_report(rows_.join(quotas.select(*cell), cell, "left_semi"), finalize.top_of_cells(rows_, cell, quotas), quotas), "complexity", "available", "rows", "tokens")
+
+
+def test_front_matter_and_dates(spark):
+    pages = spark.createDataFrame([("a.md", "---\ntitle: A: b\nstatus: open\n---\n# 2024-05-01 start\n## [2024-06-02] more\n"), ("b.md", "no head\n---\nx: y\n---\n")], "name string, text string")
+    assert found(files.front_matter(pages), "name", "key", "value") == {("a.md", "title", "A: b"), ("a.md", "status", "open")}
+    assert found(files.date_headings(pages), "day") == {"2024-05-01", "2024-06-02"}
+
+
+def test_chat_templates():
+    from strataloom.sources.template import ChatTemplate, chat_tokens, counter
+
+    render = lambda messages, answer: "".join(f"<|{m['role']}|>{m['content']}<|end|>\n" for m in messages) + ("<|assistant|>" if answer else "")
+    template = ChatTemplate.derived(render)
+    talk = [{"role": "user", "content": "Hi"}, {"role": "assistant", "content": "Hello."}]
+    assert template.rendered(talk, True) == render(talk, True) and template.boundary() == "<|end|>\n"
+    assert template.open_user(talk, "Be kind.") == render([{"role": "system", "content": "Be kind."}, *talk], False) + "<|user|>"
+    encode = lambda text: [ord(c) for c in text]
+    assert counter(template, encode)(talk) == len(render(talk, False)) == len(chat_tokens(talk, template, encode))
+    for wrong in (lambda m, a: "x", lambda m, a: "".join(x["content"] for x in m) * 2, lambda m, a: f"[{len(m)}]" + render(m, a)):
+        with pytest.raises(ValueError):
+            ChatTemplate.derived(wrong)
+
+
+def test_persona_store(spark, tmp_path):
+    raw = spark.createDataFrame(
+        [("da", "s", "b", "Ann Lee", 34, "Ann is a nurse", "x" * 400, "", ["tea", "jam"], "likes Ann", "secret"), ("da", "s", "a", None, None, None, None, "chess", [], None, None), ("en", "s", "c", "Bo", 7, "cook", "none", "Bo rows", [], "Bo Smith cooks", "secret")],
+        "language string, source string, uuid string, name string, age int, occupation string, education_level string, hobbies_and_interests string, hobbies_and_interests_list array<string>, profile string, sex string",
+    )
+    store = generation.persona_store(raw)
+    totals = generation.write_persona_store(spark, store, str(tmp_path / "store"))
+    assert found(totals, "language", "rows") == {("da", 2), ("en", 1)}
+    got = {r.source_id: (r.position, json.loads(r.payload)) for r in store.collect()}
+    assert [got[k][0] for k in "abc"] == [0, 1, 0] and got["b"][1]["occupation"] == "the person is a nurse" and len(got["b"][1]["education"]) == 160
+    assert got["b"][1]["interests"] == "tea, jam" and got["a"][1]["interests"] == "chess" and got["c"][1]["profile"] == "the person Smith cooks" and got["b"][1]["profile"] == ""
+    assert all("secret" not in json.dumps(v) for v in got.values())
+    with pytest.raises(ValueError):
+        generation.write_persona_store(spark, store.unionByName(store), str(tmp_path / "twice"))
+
+
+def test_teachers_take_turns(monkeypatch):
+    import io
+    import pickle
+
+    asked = []
+
+    def answer(request, timeout):
+        asked.append((request.full_url, json.loads(request.data)))
+        if len(asked) == 1:
+            raise OSError("away")
+        return io.BytesIO(json.dumps({"choices": [{"text": "more", "message": {"content": '{"a": 1}'}, "finish_reason": "stop"}]}).encode())
+
+    monkeypatch.setattr(teacher.urllib.request, "urlopen", answer)
+    monkeypatch.setattr(teacher.time, "sleep", lambda s: None)
+    one = pickle.loads(pickle.dumps(teacher.HttpTeacher(["http://x/", "http://y"], "m", concurrency=2)))
+    assert one.chat([{"role": "user", "content": "q"}], {"top_p": 0.5}, 7) == '{"a": 1}' and [u for u, _ in asked] == ["http://x/chat/completions", "http://y/chat/completions"]
+    assert one.completion("go", {}, 1, ["."]) == "more" and asked[-1] == ("http://x/completions", {"model": "m", "prompt": "go", "seed": 1, "stop": ["."]})
+    assert one.verdict([], {}, 1, {"type": "object"}) == {"a": 1} and asked[-1][1]["response_format"]["json_schema"]["strict"]
+    with pytest.raises(ValueError):
+        teacher.HttpTeacher([], "m")
+
+
 def test_shard_decisions(spark):
     df = spark.createDataFrame([("all", "e")] * 3 + [("few", None)] * 90 + [("few", "e")] * 8 + [("many", None)] * 9 + [("many", "e")] * 9, "shard_key string, error string")
     assert found(teacher.shard_decisions(df), "shard_key", "accepted") == {("all", False), ("few", True), ("many", False)}

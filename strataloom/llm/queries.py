@@ -148,10 +148,13 @@ def p7_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_links(spark: SparkSession, folder: str) -> DataFrame:
-    """The links of ``p7_groups``: pairs of classes of equal texts with their similarity."""
+    """The links of ``p7_groups``: pairs of classes of equal texts, each named by its least record, with their similarity."""
     texts, fields = near_texts(spark, folder)
-    links = neardup.near_duplicates(texts, dict.fromkeys(fields, 1), similarity=0.8, run=5)[1]
-    return links.select("field", F.hex("a").alias("class_a"), F.hex("b").alias("class_b"), F.round("similarity", 6).alias("similarity"))
+    members, links = neardup.near_duplicates(texts, dict.fromkeys(fields, 1), similarity=0.8, run=5)
+    ends = links.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    names = members.join(ends, "cid", "left_semi").groupBy("cid").agg(F.min("id").alias("name"))
+    named = links.join(names.select(F.col("cid").alias("a"), F.col("name").alias("one")), "a").join(names.select(F.col("cid").alias("b"), F.col("name").alias("two")), "b")
+    return named.select("field", F.least("one", "two").alias("class_a"), F.greatest("one", "two").alias("class_b"), F.round("similarity", 6).alias("similarity"))
 
 
 def filled(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
@@ -228,6 +231,14 @@ SQL: dict[str, str] = {
   h AS (SELECT t.language_lane, t.topic_domain, target_share, min_rows, count(r.id) AS present FROM sample_targets t LEFT JOIN r ON r.language_lane = t.language_lane AND r.topic_domain = t.topic_domain GROUP BY ALL),
   n AS (SELECT floor((SELECT setting_value FROM run_settings WHERE setting = 'sample_fraction') * sum(present)) AS size FROM h)
   SELECT language_lane, topic_domain FROM h, n WHERE present < greatest(min_rows, floor(target_share * size + 1e-9))""",
+    "p7_links": f"""WITH x AS (SELECT 'instruction' AS field, id, any_value(instruction) AS body FROM instruction_rows GROUP BY id
+    UNION ALL SELECT 'messages', id, any_value({_SAID.format("messages", " ")}) FROM audit_rows GROUP BY id),
+  t AS (SELECT field, id, {_WORDS.format("body")} AS w FROM x),
+  c AS (SELECT field, min(id) AS id, w FROM t WHERE len(w) >= 5 GROUP BY field, w),
+  g AS (SELECT DISTINCT field, id, array_to_string(w[i:i + 4], ' ') AS run FROM (SELECT field, id, w, unnest(range(1, len(w) - 3)) AS i FROM c)),
+  n AS (SELECT field, id, count(*) AS runs FROM g GROUP BY ALL),
+  b AS (SELECT a.field, a.id AS class_a, b.id AS class_b, count(*) AS shared FROM g a JOIN g b ON a.field = b.field AND a.run = b.run AND a.id < b.id GROUP BY ALL)
+  SELECT b.field, class_a, class_b, round(shared / (p.runs + q.runs - shared), 6) AS similarity FROM b JOIN n p ON p.field = b.field AND p.id = class_a JOIN n q ON q.field = b.field AND q.id = class_b WHERE 5 * shared >= 4 * (p.runs + q.runs - shared)""",
     "p7_found": f"""WITH x AS (SELECT 'instruction' AS field, id, any_value(instruction) AS body, 60 AS least FROM instruction_rows GROUP BY id
     UNION ALL SELECT 'messages', id, any_value({_SAID.format("messages", " ")}), 100 FROM audit_rows GROUP BY id),
   t AS (SELECT field, id, least, {_WORDS.format("body")} AS w FROM x),

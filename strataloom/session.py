@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 
@@ -45,6 +46,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver forget frames that nothing refers to any more, so that their shuffle and checkpoint files are removed.
+
+    Call it between the steps of a long chain: a driver with a large heap collects so seldom that files of all steps pile up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def schema_text(df: DataFrame) -> str:
     """The DDL of a frame, with every name quoted."""
     return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)

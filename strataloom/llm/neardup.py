@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataloom.llm.text import in_parts, words
-from strataloom.session import durable
+from strataloom.session import durable, release
 
 BANDS, ROWS, BITS = 40, 4, 160
 #: Fingerprints in one tree.
@@ -220,13 +220,16 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
     """
     radius = radius_of(similarity)
     spec = Window.partitionBy("band")
-    members = classes.select("cid", "bits_hi", "bits_lo", "bits_ex", "tails", F.posexplode("bands").alias("of", "band"))
+    # only the names of bands and classes meet at first: most bands have a single class, whose fingerprint nobody asks for
+    prints = classes.select("cid", "bits_hi", "bits_lo", "bits_ex")
+    members = classes.select("cid", "tails", F.posexplode("bands").alias("of", "band"))
     band = F.shiftleft(F.col("of").cast("long"), 48).bitwiseOR(F.shiftleft(F.col("band").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)), 16)).bitwiseOR(F.get("tails", "of").cast("long").bitwiseAND(F.lit(0xFFFF)))
-    members = members.select("cid", "bits_hi", "bits_lo", "bits_ex", band.alias("band"))
+    members = members.select("cid", band.alias("band"))
     full = full_bands(members.select("band"), classes.count(), shard)
-    # the bands of one class have nothing to find; what is left of a band lies together and in order
     small = members.join(full, "band", "left_anti") if full is not None else members
-    small = small.withColumn("among", F.count("*").over(spec)).where("among > 1").select("band", "cid", "bits_hi", "bits_lo", "bits_ex").sortWithinPartitions("band", "cid")
+    small = small.withColumn("among", F.count("*").over(spec)).where("among > 1").select("band", "cid").join(prints, "cid")
+    # the rows of a band lie together and in order
+    small = small.repartition("band").sortWithinPartitions("band", "cid")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree, band = BKTree(), None
@@ -260,7 +263,7 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
         return pd.DataFrame({"a": left, "b": right}, dtype="int64")
 
     blocks = members.join(F.broadcast(full), "band") if full.count() <= FULLEST else members.join(full, "band")
-    blocks = blocks.withColumn("blocks", F.ceil(F.col("n") / shard).cast("long")).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+    blocks = blocks.join(prints, "cid").withColumn("blocks", F.ceil(F.col("n") / shard).cast("long")).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     blocks = blocks.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     blocks = blocks.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "bits_hi", "bits_lo", "bits_ex")
     return found.unionByName(blocks.groupBy("band", "i", "j").applyInPandas(block_pair, "a long, b long")).distinct()
@@ -327,9 +330,12 @@ def near_duplicates(texts: DataFrame, least_words: dict[str, int], similarity: f
     classes = sketches(rows, least_words, run).groupBy("field", "cid").agg(F.min(F.struct("id", "bits_hi", "bits_lo", "bits_ex", "bands", "tails")).alias("of"))
     classes = durable(classes.select("cid", "of.bits_hi", "of.bits_lo", "of.bits_ex", "of.bands", "of.tails"))
     pairs = durable(tree_pairs(classes, similarity, shard))
+    del classes
+    release(texts.sparkSession)  # the bands are the largest of all and done with
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     ends = durable(drawn.select("field", "cid", "id").join(ends, "cid", "left_semi").groupBy("field", "cid").agg(F.min("id").alias("id")))
     sets = durable(only_keys(rows, ends, ["field", "id"]).join(ends, ["field", "id"]).dropDuplicates(["field", "id"]).select("field", "cid", _run_sets(run)("text").alias("runs")))
+    release(texts.sparkSession)
     links = (
         pairs.join(sets.select(F.col("cid").alias("a"), "field", F.col("runs").alias("runs_a")), "a")
         .join(sets.select(F.col("cid").alias("b"), F.col("runs").alias("runs_b")), "b")

@@ -140,25 +140,34 @@ def _fingerprints(mins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(packed[:, :16]).view(">i8").astype(np.int64), np.ascontiguousarray(packed[:, 16:]).view(">i4").astype(np.int32)[:, 0]
 
 
-def sketches(texts: DataFrame, least_words: dict[str, int], run: int) -> DataFrame:
+def sketches(texts: DataFrame, least_words: dict[str, int], run: int, every: bool = False) -> DataFrame:
     """One row of ``SKETCH`` for each text with enough words.
 
     ``texts`` has ``field``, ``id`` and ``text``; texts that have fewer words
-    than ``least_words`` of their field, or no run at all, take no part. ``cid``
-    is a hash of field and words: equal for texts with the same words in order.
+    than ``least_words`` of their field, or no run at all, take no part, or with
+    ``every`` have no bands. ``cid`` is a hash of field and words: equal for texts
+    with the same words in order.
     """
     salts = {field: i for i, field in enumerate(sorted(least_words))}
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_parts(batches):
             for field, part in batch.groupby("field"):
-                least, ids, classes, runs = max(run, least_words[field]), [], [], []
+                least, ids, classes, runs, short = max(run, least_words[field]), [], [], [], []
                 for id_, text in zip(part["id"], part["text"]):
                     tokens = words(text)
+                    digest = xxhash.xxh64_intdigest(" ".join(tokens), salts[field])
                     if len(tokens) >= least:
                         ids.append(id_)
-                        classes.append(xxhash.xxh64_intdigest(" ".join(tokens), salts[field]))
+                        classes.append(digest)
                         runs.append(run_hashes(tokens, run))
+                    elif every:
+                        short.append((id_, digest))
+                if short:
+                    none = [[] for _ in short]
+                    yield pd.DataFrame({
+                        "field": field, "id": [i for i, _ in short], "cid": np.array([c for _, c in short], np.uint64).view(np.int64), "bits_hi": 0, "bits_lo": 0, "bits_ex": 0, "bands": none, "tails": none,
+                    })
                 for first in range(0, len(ids), 256):
                     some = runs[first : first + 256]
                     sizes = np.fromiter(map(len, some), np.int64, len(some))
@@ -173,23 +182,6 @@ def sketches(texts: DataFrame, least_words: dict[str, int], run: int) -> DataFra
     return texts.select("field", "id", "text").mapInPandas(sketch, SKETCH)
 
 
-def class_ids(texts: DataFrame, least_words: dict[str, int], run: int) -> DataFrame:
-    """``field, id, cid`` of each text that takes part: the sketches without their bits."""
-    salts = {field: i for i, field in enumerate(sorted(least_words))}
-
-    def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for field, id_, text in zip(batch["field"], batch["id"], batch["text"]):
-                tokens = words(text)
-                if len(tokens) >= max(run, least_words[field]):
-                    digest = xxhash.xxh64_intdigest(" ".join(tokens), salts[field])
-                    rows.append((field, id_, digest - (1 << 64) if digest >> 63 else digest))
-            yield pd.DataFrame(rows, columns=["field", "id", "cid"])
-
-    return texts.select("field", "id", "text").mapInPandas(name, "field string, id string, cid long")
-
-
 def _fingerprint(high: int, low: int, extra: int) -> int:
     return ((high & (2**64 - 1)) << 64 | low & (2**64 - 1)) << 32 | extra & (2**32 - 1)
 
@@ -214,14 +206,14 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
     """Pairs ``a < b`` of classes that share a band and whose fingerprints lie within the radius.
 
     ``classes`` has ``cid``, ``bits_hi``, ``bits_lo``, ``bits_ex``, ``bands`` and ``tails``, and is
-    read several times. A band with at most ``shard`` classes is one tree. The rows
+    read several times; a class may come more than once. A band with at most ``shard`` classes is one tree. The rows
     of a fuller one never meet: they are cut into blocks of about ``shard`` by a hash,
     and each pair of its blocks is a task, so no tree and no task grows.
     """
     radius = radius_of(similarity)
     spec = Window.partitionBy("band")
     # only the names of bands and classes meet at first: most bands have a single class, whose fingerprint nobody asks for
-    prints = classes.select("cid", "bits_hi", "bits_lo", "bits_ex")
+    prints = classes.select("cid", "bits_hi", "bits_lo", "bits_ex").dropDuplicates(["cid"])
     members = classes.select("cid", "tails", F.posexplode("bands").alias("of", "band"))
     band = F.shiftleft(F.col("of").cast("long"), 48).bitwiseOR(F.shiftleft(F.col("band").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)), 16)).bitwiseOR(F.get("tails", "of").cast("long").bitwiseAND(F.lit(0xFFFF)))
     members = members.select("cid", band.alias("band"))
@@ -240,8 +232,9 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
                     tree, band = BKTree(), key
                 bits = _fingerprint(high, low, extra)
                 for other in tree.within(bits, radius):
-                    left.append(other)
-                    right.append(cid)
+                    if other != cid:
+                        left.append(other)
+                        right.append(cid)
                 tree.add(bits, cid)
             yield pd.DataFrame({"a": np.array(left, np.int64), "b": np.array(right, np.int64)})
 
@@ -256,13 +249,14 @@ def tree_pairs(classes: DataFrame, similarity: float, shard: int = SHARD) -> Dat
             bits = _fingerprint(high, low, extra)
             if one or block != first:
                 for other in tree.within(bits, radius):
-                    left.append(min(other, cid))
-                    right.append(max(other, cid))
+                    if other != cid:
+                        left.append(min(other, cid))
+                        right.append(max(other, cid))
             if one or block == first:
                 tree.add(bits, cid)
         return pd.DataFrame({"a": left, "b": right}, dtype="int64")
 
-    blocks = members.join(F.broadcast(full), "band") if full.count() <= FULLEST else members.join(full, "band")
+    blocks = (members.join(F.broadcast(full), "band") if full.count() <= FULLEST else members.join(full, "band")).dropDuplicates(["band", "cid"])
     blocks = blocks.join(prints, "cid").withColumn("blocks", F.ceil(F.col("n") / shard).cast("long")).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     blocks = blocks.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     blocks = blocks.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "bits_hi", "bits_lo", "bits_ex")
@@ -323,12 +317,17 @@ def near_duplicates(texts: DataFrame, least_words: dict[str, int], similarity: f
     0.996 and one at 0.65 or more with over 0.999.
     """
     rows = texts.where("id is not null and text is not null").select("field", F.col("id").cast("string").alias("id"), "text")
-    drawn = class_ids(rows, dict.fromkeys(least_words, 0), 0) if every else class_ids(rows, least_words, run)
+    known = durable(sketches(rows, least_words, run, every))
+    drawn = known.select("field", "id", "cid")
     if every:
         drawn = drawn.unionByName(texts.where("id is not null and text is null").select("field", F.col("id").cast("string").alias("id"), F.lit(None).cast("long").alias("cid")))
-    drawn = durable(drawn)
-    classes = sketches(rows, least_words, run).groupBy("field", "cid").agg(F.min(F.struct("id", "bits_hi", "bits_lo", "bits_ex", "bands", "tails")).alias("of"))
-    classes = durable(classes.select("cid", "of.bits_hi", "of.bits_lo", "of.bits_ex", "of.bands", "of.tails"))
+    # one record stands for its class: nearly all others are kept out without moving a sketch, and exactly where the bitmap is crowded
+    named = known.where(F.size("bands") > 0)
+    ones = named.groupBy("field", "cid").agg(F.min("id").alias("id")).select("field", "id")
+    classes = only_keys(named, ones, ["field", "id"])
+    if named.count() > FILTER // 8:
+        classes = classes.join(ones, ["field", "id"], "left_semi")
+    classes = classes.select("cid", "bits_hi", "bits_lo", "bits_ex", "bands", "tails")
     pairs = durable(tree_pairs(classes, similarity, shard))
     del classes
     release(texts.sparkSession)  # the bands are the largest of all and done with

@@ -179,11 +179,10 @@ def openings_of(answer: str) -> tuple[list[str], bool, list[str]]:
         found = WORD.findall(sentence)
         if found:
             said += found
-            first = found[0]
-            found[0] = first.lower() if first.isalpha() else "#"
-            found[1:] = map(_MASKS.__getitem__, found[1:])
-            out.append(" ".join(found[:OPENING]).lower())
-            bare = bare and "#" not in found
+            head = [found[0].lower() if found[0].isalpha() else "#", *map(_MASKS.__getitem__, found[1:OPENING])]
+            out.append(" ".join(head).lower())
+            # once a slot is seen the words behind the openings need no mask
+            bare = bare and "#" not in head and "#" not in map(_MASKS.__getitem__, found[OPENING:])
     return out, bare, list(map(str.lower, said))
 
 
